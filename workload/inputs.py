@@ -70,7 +70,7 @@ INPUTS: dict[str, str] = {
     # Facility list A: one per order.
     "facility_a_raw": f"""
         SELECT o_orderkey AS row_id,
-               CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN 'STATE ' || cast(o_custkey % 110 % 26 AS string) || ' '
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 47 = 0 THEN 'old state ' || cast(o_custkey % 110 % 26 AS string) WHEN o_orderkey % 5 = 0 THEN 'STATE ' || cast(o_custkey % 110 % 26 AS string) || ' '
                     ELSE 'state ' || cast(o_custkey % 110 % 26 AS string) END AS old_state,
                CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN ' ' || {_state("(o_custkey % 110 % 26)")}
                     WHEN o_orderkey % 23 = 0 THEN 'XX99' ELSE {_state("(o_custkey % 110 % 26)")} END AS state_code,
@@ -133,7 +133,7 @@ INPUTS: dict[str, str] = {
                cast(c_custkey % 50 AS string) || '.25' AS col_10, '-' || cast(c_custkey % 40 AS string) AS col_11,
                cast(c_custkey % 1200 AS string) AS col_12, ' 12 ' AS col_13,
                CASE WHEN c_custkey % 25 = 24 THEN '12.5' ELSE cast(c_custkey % 6 AS string) || '.125' END AS col_14,
-               cast(c_custkey % 800 AS string) AS col_15, cast(c_custkey % 1100 AS string) AS col_16
+               cast(c_custkey % 800 AS string) AS col_15, cast(c_custkey % 1900 AS string) AS col_16
         FROM {{customer}}
         UNION ALL
         SELECT 'Admin 1', 'Admin 1 P-Code', 'Admin 2', 'Admin 2 P-Code', 'Projection', 'Group', 'CCCM', 'a', 'b', 'c', 'd', 'e', 'f', 'g', 'h', 'i', 'j'
@@ -145,7 +145,7 @@ INPUTS: dict[str, str] = {
                CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE ' ' || upper(p_brand) END AS amenity,
                'SS' || lpad(cast(p_size % 26 AS string), 2, '0') || ' ' AS adm1_pcode,
                'State  ' || cast(p_size % 26 + CASE WHEN p_partkey % 100 = 9 THEN 1 ELSE 0 END AS string) AS adm1_name,
-               'C' || cast(p_size AS string) AS adm2_pcode, ' County ' || cast(p_size + CASE WHEN p_partkey % 70 = 3 THEN 1 ELSE 0 END AS string) AS adm2_name,
+               'C' || cast(p_size + CASE WHEN p_partkey % 80 = 4 THEN 1 ELSE 0 END AS string) AS adm2_pcode, ' County ' || cast(p_size + CASE WHEN p_partkey % 70 = 3 THEN 1 ELSE 0 END AS string) AS adm2_name,
                'Y' || cast(p_size AS string) || '-' || cast(p_partkey % 4 AS string) AS adm3_pcode,
                CASE WHEN p_partkey % 90 = 5 THEN 'Payam X' ELSE 'Payam ' || cast(p_partkey % 4 AS string) END AS adm3_name,
                CASE WHEN p_partkey % 2 = 0 THEN p_type END AS name_latin,
