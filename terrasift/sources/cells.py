@@ -42,7 +42,7 @@ def type_cells(records: DataFrame, names: list[str], keep: tuple[str, ...] = ())
         F.count(F.lit(1)).alias("rows"),
         *[
             F.struct(
-                F.count(at(i)).alias("n"),
+                F.count(at(i)).alias("filled"),
                 kind(i, NUMBER).alias(NUMBER),
                 kind(i, FLAG).alias(FLAG),
                 kind(i, MOMENT).alias(MOMENT),
@@ -55,13 +55,13 @@ def type_cells(records: DataFrame, names: list[str], keep: tuple[str, ...] = ())
     for i, name in enumerate(names):
         s = stats[f"c{i}"]
         value = F.substring(at(i), 2, 2**31 - 1)
-        if s["n"] == 0 or s[NUMBER] == s["n"]:
-            whole = s["n"] == stats["rows"] and s["n"] > 0 and s["integral"] == s["n"]
+        if s["filled"] == 0 or s[NUMBER] == s["filled"]:
+            whole = s["filled"] == stats["rows"] and s["filled"] > 0 and s["integral"] == s["filled"]
             number = value.cast("double")
             out.append((number.cast("bigint") if whole else number).alias(name))
-        elif s[MOMENT] == s["n"]:
+        elif s[MOMENT] == s["filled"]:
             out.append(value.cast("timestamp_ntz").alias(name))
-        elif s[FLAG] == s["n"] == stats["rows"]:
+        elif s[FLAG] == s["filled"] == stats["rows"]:
             out.append((value == "1").alias(name))
         else:
             out.append(value.alias(name))

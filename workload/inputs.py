@@ -96,6 +96,7 @@ INPUTS: dict[str, str] = {
                'Payam ' || cast(c_custkey % 110 AS string) || '-' || cast(c_custkey % 7 AS string) AS payam,
                'P' || cast(c_custkey % 110 AS string) || '-' || cast(c_custkey % 7 AS string) AS payam_code,
                CASE WHEN c_custkey % 59 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN ' FACILITY  ' || cast(c_custkey % 1009 + 300 AS string)
+                    WHEN c_custkey % 3 = 1 THEN 'facility ' || cast(c_custkey % 997 AS string)
                     ELSE 'Facility ' || cast(c_custkey % 1009 + 300 AS string) || CASE WHEN c_custkey % 6 = 0 THEN ' PHCU' ELSE '' END END AS facility_name,
                CASE WHEN c_custkey % 10 = 0 THEN 'PHCC+' WHEN c_custkey % 3 = 0 THEN 'PHCU' WHEN c_custkey % 3 = 1 THEN 'PHCC' ELSE 'Hospital' END AS type,
                {_state("(c_custkey % 110 % 26)")} || '-' || cast(c_custkey - CASE WHEN c_custkey % 61 = 1 THEN 1 ELSE 0 END AS string) AS facilities_code,
