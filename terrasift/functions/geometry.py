@@ -20,8 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARTS_TYPE = "array<array<array<struct<x:double,y:double>>>>"
-GEOMETRY_TYPE = f"struct<gtype:string,srid:int,parts:{PARTS_TYPE}>"
+_POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+PARTS_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(_POINT_TYPE)))
 DEFAULT_SRID = 4326
 
 # Geometry type names in order of their WKB code.
@@ -182,41 +182,39 @@ def _finite(g: Column | str) -> Column:
     )
 
 
-def _rings(g: Column | str) -> Column:
-    return F.flatten(_col(g)["parts"])
+def _polygonal(g: Column | str) -> Column:
+    return _col(g)["gtype"].isin("Polygon", "MultiPolygon")
 
 
-def _ring_shape_ok(ring: Column) -> Column:
-    first, last = F.get(ring, F.lit(0)), F.get(ring, F.size(ring) - 1)
-    return (F.size(ring) >= 4) & (first["x"] == last["x"]) & (first["y"] == last["y"])
+def _flat(g: Column | str, condition: Column) -> tuple[Column, Column, Column]:
+    """Coordinates and ring sizes as flat arrays for an Arrow UDF, NULL where the condition fails."""
+    pts = points_of(g)
+    return (
+        F.when(condition, F.transform(pts, lambda p: p["x"])),
+        F.when(condition, F.transform(pts, lambda p: p["y"])),
+        F.when(condition, F.transform(_col(g)["parts"], lambda part: F.transform(part, lambda r: F.size(r)))),
+    )
 
 
 def is_valid(g: Column | str) -> Column:
     """Finite coordinates, proper lines, closed rings that do not cross or collapse.
 
-    Row shape tests are column expressions. Segment crossings go through an
-    Arrow UDF that sees only well-shaped polygon rows; other rows pass NULL.
+    Points and lines are tested by column expressions; polygons go to an Arrow
+    UDF that works on whole batches, other rows pass it NULL.
     """
     geom = _col(g)
-    polygonal = geom["gtype"].isin("Polygon", "MultiPolygon")
     linear = geom["gtype"].isin("LineString", "MultiLineString")
-    shaped = F.forall(_rings(g), _ring_shape_ok)
-    lines_ok = F.forall(_rings(g), lambda r: F.size(F.array_distinct(r)) >= 2)
-    check = polygonal & shaped & _finite(g)
-    xs = F.when(check, F.transform(points_of(g), lambda p: p["x"]))
-    ys = F.when(check, F.transform(points_of(g), lambda p: p["y"]))
-    sizes = F.when(check, F.transform(geom["parts"], lambda part: F.transform(part, lambda r: F.size(r))))
-    simple = F.coalesce(rings_are_simple(xs, ys, sizes), F.lit(False))
-    return F.when(
-        ~is_unusable(g),
-        F.when(~_finite(g), F.lit(False)).when(polygonal, shaped & simple).when(linear, lines_ok).otherwise(F.lit(True)),
-    )
+    lines_ok = F.forall(F.flatten(geom["parts"]), lambda r: F.size(F.array_distinct(r)) >= 2)
+    plain = F.when(linear, _finite(g) & lines_ok).otherwise(_finite(g))
+    return F.when(~is_unusable(g), F.coalesce(polygons_are_valid(*_flat(g, _polygonal(g))), plain))
 
 
 # --- numpy helpers used inside Arrow batches --------------------------------
 
 
-def _proper_crossings(x: np.ndarray, y: np.ndarray, owner: np.ndarray, first_only: bool = True):
+def _proper_crossings(
+    x: np.ndarray, y: np.ndarray, owner: np.ndarray, first_only: bool = True, interiors_only: bool = False
+):
     """Pairs of segments that meet anywhere but at a shared end point of neighbours.
 
     ``x, y`` hold segment ends as (n, 2); ``owner`` is the ring of a segment.
@@ -241,7 +239,7 @@ def _proper_crossings(x: np.ndarray, y: np.ndarray, owner: np.ndarray, first_onl
         overlap = (d1 == 0) & (d2 == 0) & _collinear_overlap(x, y, i, js)
         touch = ~cross & ~overlap & ((d1 * d2 == 0) | (d3 * d4 == 0)) & _touch_inside(x, y, i, js, d1, d2, d3, d4)
         same = owner[js] == owner[i]
-        bad = cross | overlap | (touch & same)
+        bad = cross if interiors_only else cross | overlap | (touch & same)
         for j in js[bad]:
             found.append((int(min(i, j)), int(max(i, j))))
             if first_only:
@@ -305,14 +303,51 @@ def _simple(x: np.ndarray, y: np.ndarray, part_sizes) -> bool:
         if _area(x[start : start + n], y[start : start + n]) == 0.0:
             return False
         start += n
-    sx, sy, owner = _segments(x, y, flat)
-    if _proper_crossings(sx, sy, owner):
+    if len(x) <= _SMALL_RING:
+        if _short_rings_meet(x.tolist(), y.tolist(), flat):
+            return False
+    elif _proper_crossings(*_segments(x, y, flat)):
         return False
     return _holes_inside(x, y, part_sizes)
 
 
+def _short_rings_meet(x: list[float], y: list[float], sizes: list[int]) -> bool:
+    """The test of ``_proper_crossings`` for few segments, where plain floats beat small arrays."""
+    segments, start = [], 0
+    for ring, n in enumerate(sizes):
+        for k in range(start, start + n - 1):
+            if x[k] != x[k + 1] or y[k] != y[k + 1]:
+                segments.append((ring, x[k], y[k], x[k + 1], y[k + 1]))
+        start += n
+    for i, (ri, ax, ay, bx, by) in enumerate(segments):
+        for rj, cx, cy, ex, ey in segments[i + 1 :]:
+            d1 = (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+            d2 = (bx - ax) * (ey - ay) - (by - ay) * (ex - ax)
+            d3 = (ex - cx) * (ay - cy) - (ey - cy) * (ax - cx)
+            d4 = (ex - cx) * (by - cy) - (ey - cy) * (bx - cx)
+            if d1 * d2 < 0 and d3 * d4 < 0:
+                return True
+            if d1 == 0 and d2 == 0:
+                p, q, r, s = (ax, bx, cx, ex) if abs(bx - ax) >= abs(by - ay) else (ay, by, cy, ey)
+                if min(max(p, q), max(r, s)) > max(min(p, q), min(r, s)):
+                    return True
+            if ri != rj or (cx == bx and cy == by) or (ex == ax and ey == ay):
+                continue
+            for d, px, py, (ux, uy, vx, vy) in (
+                (d1, cx, cy, (ax, ay, bx, by)),
+                (d2, ex, ey, (ax, ay, bx, by)),
+                (d3, ax, ay, (cx, cy, ex, ey)),
+                (d4, bx, by, (cx, cy, ex, ey)),
+            ):
+                if d == 0 and min(ux, vx) <= px <= max(ux, vx) and min(uy, vy) <= py <= max(uy, vy):
+                    return True
+    return False
+
+
 def _holes_inside(x: np.ndarray, y: np.ndarray, part_sizes) -> bool:
     """Some vertex of every hole lies within its shell, no shell sits inside another part's shell."""
+    if len(part_sizes) == 1 and len(part_sizes[0]) == 1:
+        return True
     start, shells = 0, []
     for part in part_sizes:
         rings = []
@@ -342,15 +377,83 @@ def _within(rx: np.ndarray, ry: np.ndarray, px: float, py: float) -> bool:
     return bool(np.sum(straddle & (px < at)) % 2)
 
 
-@F.pandas_udf(T.BooleanType())
-def rings_are_simple(xs: pd.Series, ys: pd.Series, sizes: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if x is None else _simple(np.asarray(x, float), np.asarray(y, float), s)
-            for x, y, s in zip(xs, ys, sizes)
-        ],
-        dtype=object,
+def _valid_polygon(x: np.ndarray, y: np.ndarray, part_sizes) -> bool:
+    if not (np.isfinite(x).all() and np.isfinite(y).all()):
+        return False
+    start = 0
+    for part in part_sizes:
+        for n in part:
+            if n < 4 or x[start] != x[start + n - 1] or y[start] != y[start + n - 1]:
+                return False
+            start += n
+    return _simple(x, y, part_sizes)
+
+
+# Rings up to this many points are tested together, one array operation per batch.
+_SMALL_RING = 40
+_BLOCK_CELLS = 2_000_000
+
+
+def _small_rings_valid(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Validity of many single rings of equal length, given as (rings, points)."""
+    ok = np.isfinite(x).all(axis=1) & np.isfinite(y).all(axis=1) & (x[:, 0] == x[:, -1]) & (y[:, 0] == y[:, -1])
+    n = x.shape[1] - 1
+    if n < 3:
+        return np.zeros(len(x), dtype=bool)
+    x, y = np.where(ok[:, None], x, 0.0), np.where(ok[:, None], y, 0.0)
+    dx, dy = x - x[:, :1], y - y[:, :1]
+    ok &= np.sum(dx[:, :-1] * dy[:, 1:] - dx[:, 1:] * dy[:, :-1], axis=1) != 0
+    # A repeated point makes an empty segment; such rings take the general path.
+    i, j = np.triu_indices(n, k=1)
+    ax, ay, bx, by = x[:, i], y[:, i], x[:, i + 1], y[:, i + 1]
+    cx, cy, ex, ey = x[:, j], y[:, j], x[:, j + 1], y[:, j + 1]
+    d1, d2 = _turn(ax, ay, bx, by, cx, cy), _turn(ax, ay, bx, by, ex, ey)
+    d3, d4 = _turn(cx, cy, ex, ey, ax, ay), _turn(cx, cy, ex, ey, bx, by)
+
+    def on(px, py, sx, sy, tx, ty):
+        return (
+            (px >= np.minimum(sx, tx)) & (px <= np.maximum(sx, tx)) & (py >= np.minimum(sy, ty)) & (py <= np.maximum(sy, ty))
+        )
+
+    cross = (d1 * d2 < 0) & (d3 * d4 < 0)
+    touch = (
+        ((d1 == 0) & on(cx, cy, ax, ay, bx, by))
+        | ((d2 == 0) & on(ex, ey, ax, ay, bx, by))
+        | ((d3 == 0) & on(ax, ay, cx, cy, ex, ey))
+        | ((d4 == 0) & on(bx, by, cx, cy, ex, ey))
     )
+    next_to = (j == i + 1) | ((i == 0) & (j == n - 1))
+    # Neighbours share one end and may only fold back when they run along one line.
+    line = (d1 == 0) & (d2 == 0)
+    wide = np.abs(bx - ax) >= np.abs(by - ay)
+    lo = np.maximum(np.where(wide, np.minimum(ax, bx), np.minimum(ay, by)), np.where(wide, np.minimum(cx, ex), np.minimum(cy, ey)))
+    hi = np.minimum(np.where(wide, np.maximum(ax, bx), np.maximum(ay, by)), np.where(wide, np.maximum(cx, ex), np.maximum(cy, ey)))
+    bad = np.where(next_to, line & (hi > lo), cross | touch)
+    return ok & ~bad.any(axis=1)
+
+
+@F.pandas_udf(T.BooleanType())
+def polygons_are_valid(xs: pd.Series, ys: pd.Series, sizes: pd.Series) -> pd.Series:
+    out = np.full(len(xs), None, dtype=object)
+    by_length: dict[int, list[int]] = {}
+    for k, (x, s) in enumerate(zip(xs, sizes)):
+        if x is None:
+            continue
+        if len(s) == 1 and len(s[0]) == 1 and len(x) <= _SMALL_RING:
+            by_length.setdefault(len(x), []).append(k)
+        else:
+            out[k] = _valid_polygon(np.asarray(x, float), np.asarray(ys[k], float), s)
+    for n, rows in by_length.items():
+        step = max(1, _BLOCK_CELLS // max(1, n * n))
+        for start in range(0, len(rows), step):
+            block = rows[start : start + step]
+            x = np.stack([np.asarray(xs[k], float) for k in block])
+            y = np.stack([np.asarray(ys[k], float) for k in block])
+            repeated = ((x[:, 1:] == x[:, :-1]) & (y[:, 1:] == y[:, :-1])).any(axis=1)
+            good = _small_rings_valid(x, y)
+            for r, k in enumerate(block):
+                out[k] = bool(_valid_polygon(x[r], y[r], sizes[k])) if repeated[r] else bool(good[r])
+    return pd.Series(out, dtype=object)
 
 
 def _clean_ring(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -360,12 +463,31 @@ def _clean_ring(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return ring
 
 
+def _crossings(ring: list[tuple[float, float]]) -> list[tuple[int, int]]:
+    """Pairs of segments that cross in their interiors; plain floats are quickest on short rings."""
+    n = len(ring) - 1
+    if n > _SMALL_RING:
+        arr = np.asarray(ring, float)
+        x = np.stack([arr[:-1, 0], arr[1:, 0]], axis=1)
+        y = np.stack([arr[:-1, 1], arr[1:, 1]], axis=1)
+        return _proper_crossings(x, y, np.zeros(len(x)), first_only=False, interiors_only=True)
+
+    def turn(a, b, p) -> float:
+        return (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+
+    found = []
+    for i in range(n - 2):
+        a, b = ring[i], ring[i + 1]
+        for j in range(i + 2, n):
+            p, q = ring[j], ring[j + 1]
+            if turn(a, b, p) * turn(a, b, q) < 0 and turn(p, q, a) * turn(p, q, b) < 0:
+                found.append((i, j))
+    return found
+
+
 def _split_at_crossing(ring: list[tuple[float, float]]) -> list[list[tuple[float, float]]]:
     """Two rings when exactly one pair of segments crosses, else the ring itself."""
-    arr = np.asarray(ring, float)
-    x = np.stack([arr[:-1, 0], arr[1:, 0]], axis=1)
-    y = np.stack([arr[:-1, 1], arr[1:, 1]], axis=1)
-    pairs = _proper_crossings(x, y, np.zeros(len(x)), first_only=False)
+    pairs = _crossings(ring)
     if len(pairs) != 1:
         return [ring]
     i, j = pairs[0]
@@ -381,18 +503,19 @@ def _split_at_crossing(ring: list[tuple[float, float]]) -> list[list[tuple[float
     return [_clean_ring(outer), _clean_ring(inner)]
 
 
-def _repair(x, y, part_sizes) -> str | None:
-    """Repaired parts as coordinate text, None when nothing usable came out."""
+def _repair(x, y, part_sizes) -> list | None:
+    """The repaired parts, None when nothing usable came out."""
+    if not (np.isfinite(x).all() and np.isfinite(y).all()):
+        return None
     start, parts = 0, []
     for part in part_sizes:
         rings = []
         for n in part:
             ring = _clean_ring(list(zip(map(float, x[start : start + n]), map(float, y[start : start + n]))))
             start += n
-            arr = np.asarray(ring, float)
             if len(ring) >= 4 and len(set(ring)) >= 3:
                 pieces = _split_at_crossing(ring)
-                if len(pieces) > 1 or _area(arr[:, 0], arr[:, 1]) != 0.0:
+                if len(pieces) > 1 or _area(*np.asarray(ring, float).T) != 0.0:
                     rings.append(pieces)
         if not rings:
             continue
@@ -401,41 +524,29 @@ def _repair(x, y, part_sizes) -> str | None:
             parts.append([shell[0], *holes])
         else:
             parts.extend([[piece] for piece in shell])
-    return json.dumps(parts) if parts else None
+    if not parts:
+        return None
+    return [[[{"x": px, "y": py} for px, py in ring] for ring in part] for part in parts]
 
 
-@F.pandas_udf(T.StringType())
-def _repaired_text(xs: pd.Series, ys: pd.Series, sizes: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if x is None else _repair(x, y, s) for x, y, s in zip(xs, ys, sizes)], dtype=object
-    )
+@F.pandas_udf(PARTS_TYPE)
+def _repaired_parts(xs: pd.Series, ys: pd.Series, sizes: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else _repair(x, y, s) for x, y, s in zip(xs, ys, sizes)], dtype=object)
 
 
 def make_valid(g: Column | str, valid: Column | None = None) -> Column:
     """Bounded repair of polygons; anything it cannot mend is returned unchanged.
 
     Closes rings, drops repeated points and collapsed rings, and splits a ring
-    that crosses itself once into two parts.
+    that crosses itself once into two parts. ``valid`` is the known outcome of
+    ``is_valid`` for the row, if there is one.
     """
     geom = _col(g)
     ok = is_valid(g) if valid is None else valid
-    todo = ~ok & geom["gtype"].isin("Polygon", "MultiPolygon") & _finite(g)
-    xs = F.when(todo, F.transform(points_of(g), lambda p: p["x"]))
-    ys = F.when(todo, F.transform(points_of(g), lambda p: p["y"]))
-    sizes = F.when(todo, F.transform(geom["parts"], lambda part: F.transform(part, lambda r: F.size(r))))
-    nested = F.from_json(_repaired_text(xs, ys, sizes), "array<array<array<array<double>>>>")
-    parts = F.transform(
-        nested,
-        lambda part: F.transform(
-            part,
-            lambda ring: F.transform(
-                ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
-            ),
-        ),
-    )
-    gtype = F.when(F.size(parts) > 1, F.lit("MultiPolygon")).otherwise(geom["gtype"])
-    fixed = F.struct(gtype.alias("gtype"), geom["srid"].alias("srid"), parts.alias("parts"))
-    return F.when(parts.isNotNull(), fixed).otherwise(geom)
+    parts = _repaired_parts(*_flat(g, ~ok & _polygonal(g)))
+    gtype = F.when(F.size(parts) > 1, F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))
+    mended = F.struct(gtype.alias("gtype"), geom["srid"].alias("srid"), parts.alias("parts"))
+    return F.when(parts.isNotNull(), mended).otherwise(geom)
 
 
 # --- WKB codec (G8) ----------------------------------------------------------
@@ -540,9 +651,4 @@ def from_hex_wkb(c: Column | str, srid: int = DEFAULT_SRID) -> Column:
 
 def to_wkb(g: Column | str) -> Column:
     """Little-endian WKB bytes."""
-    geom = _col(g)
-    usable = ~is_unusable(g)
-    xs = F.when(usable, F.transform(points_of(g), lambda p: p["x"]))
-    ys = F.when(usable, F.transform(points_of(g), lambda p: p["y"]))
-    sizes = F.when(usable, F.transform(geom["parts"], lambda part: F.transform(part, lambda r: F.size(r))))
-    return _wkb_bytes(geom["gtype"], xs, ys, sizes)
+    return _wkb_bytes(_col(g)["gtype"], *_flat(g, ~is_unusable(g)))

@@ -6,21 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side may be broadcast only up to these measured sizes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 # Above this estimate the size is not even measured.
-_MEASURE_BELOW_BYTES = 4 << 30
+_MEASURE_BELOW_BYTES = 512 << 20
 
 SALTS = 32
 HOT_FRACTION = 0.01
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of a plan; an estimate, so good for ruling a side out, not in."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except AttributeError:  # a remote session has no JVM handle
         return None
 
@@ -31,14 +33,27 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     The measuring job reads at most ``max_rows + 1`` rows, and is skipped when
     the optimizer already estimates a large side.
     """
-    estimate = _estimated_bytes(df)
+    estimate = estimated_bytes(df)
     if estimate is not None and estimate > _MEASURE_BELOW_BYTES:
         return False
-    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: texts by their length, nested values by their JSON form, others by a fixed width."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            width = width + F.coalesce(F.length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
+        else:
+            width = width + F.lit(16)
+    return width
+
+
 def _row_salt(df: DataFrame, salts: int) -> Column:
     """Spread rows over the salts; copies of one row in different partitions differ too."""
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id(), F.lit(salts))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.functions import geometry as G
+from terrasift.operators.joins import estimated_bytes
 
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -191,6 +192,18 @@ def duck(sql: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", sql).replace("`", '"')
 
 
+# A table above this size that sits in fewer splits than there are cores is dealt out once.
+_SPREAD_ABOVE_BYTES = 256 << 10
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that is one small file; a table of many files is left as it is."""
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism or (estimated_bytes(df) or 0) < _SPREAD_ABOVE_BYTES:
+        return df
+    return df.repartition(sc.defaultParallelism)
+
+
 class Tables:
     """Benchmark tables and derived inputs of one scale, by attribute."""
 
@@ -199,7 +212,7 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
         if name in INPUTS:
             return self.spark.sql(INPUTS[name], **{n: getattr(self, n) for n in _NEEDS[name]})
         if name in SHAPED:
