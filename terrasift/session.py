@@ -36,10 +36,11 @@ def scratch_dir(spark: SparkSession) -> str:
     session, where every task runs on this machine, may fall back to a
     temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="terrasift-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrasift-"))
+        root = sc.getCheckpointDir()
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/terrasift-{uuid.uuid4().hex}"

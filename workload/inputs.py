@@ -85,8 +85,8 @@ INPUTS: dict[str, str] = {
                     WHEN o_orderkey % 4 = 0 THEN 'facility  ' || cast(o_custkey % 997 AS string)
                     ELSE 'Facility ' || cast(o_custkey % 997 AS string) END AS site,
                CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE 'dhis ' || cast(o_orderkey AS string) END AS site_dhis2_name,
-               CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE cast(200 + o_custkey % 1200 AS double) / 100 END AS latitude,
-               CASE WHEN o_orderkey % 27 = 0 THEN NULL ELSE cast(2200 + o_custkey % 1500 AS double) / 100 END AS longitude
+               CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE cast(200 + o_custkey * 7 % 1200 AS double) / 100 END AS latitude,
+               CASE WHEN o_orderkey % 27 = 0 THEN NULL ELSE cast(2200 + o_custkey * 11 % 1500 AS double) / 100 END AS longitude
         FROM {{orders}}""",
     # Facility list B: one per customer.
     "facility_b_raw": f"""
@@ -101,8 +101,8 @@ INPUTS: dict[str, str] = {
                     ELSE 'Facility ' || cast(c_custkey % 1009 + 300 AS string) || CASE WHEN c_custkey % 6 = 0 THEN ' PHCU' ELSE '' END END AS facility_name,
                CASE WHEN c_custkey % 10 = 0 THEN 'PHCC+' WHEN c_custkey % 3 = 0 THEN 'PHCU' WHEN c_custkey % 3 = 1 THEN 'PHCC' ELSE 'Hospital' END AS type,
                {_state("(c_custkey % 110 % 26)")} || '-' || cast(c_custkey - CASE WHEN c_custkey % 61 = 1 THEN 1 ELSE 0 END AS string) AS facilities_code,
-               CASE WHEN c_custkey % 12 = 0 THEN NULL ELSE cast(200 + (c_custkey + c_custkey % 3) % 1200 AS double) / 100 END AS latitude,
-               CASE WHEN c_custkey % 24 = 0 THEN NULL ELSE cast(2200 + c_custkey % 1500 AS double) / 100 END AS longitude
+               CASE WHEN c_custkey % 12 = 0 THEN NULL ELSE cast(200 + (c_custkey * 7 + c_custkey % 3) % 1200 AS double) / 100 END AS latitude,
+               CASE WHEN c_custkey % 24 = 0 THEN NULL ELSE cast(2200 + c_custkey * 11 % 1500 AS double) / 100 END AS longitude
         FROM {{customer}}""",
     # Population estimates: one row per supplier of a line, plus the country total.
     "population_raw": f"""
