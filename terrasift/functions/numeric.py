@@ -38,6 +38,12 @@ def guarded_ratio(num: Column, den: Column, precision: int, scale: int) -> Colum
     return F.when(den > 0, (num / den).cast(T.DecimalType(precision, scale)))
 
 
+def round_half_even(c: Column, digits: int) -> Column:
+    """Scale, round to the even neighbour, scale back, as array libraries do."""
+    factor = F.lit(float(10**digits))
+    return F.rint(c.cast("double") * factor) / factor
+
+
 def weighted_score(weights: Sequence[tuple[Column, int]]) -> Column:
     """Sum of the weights whose condition holds."""
     return reduce(lambda a, b: a + b, [F.when(cond, F.lit(w)).otherwise(F.lit(0)) for cond, w in weights])

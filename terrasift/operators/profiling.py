@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from terrasift.functions.keys import row_key, value_key
-from terrasift.functions.numeric import priority_rank
+from terrasift.functions.numeric import priority_rank, round_half_even
 from terrasift.functions.places import PROFILE_BOX, Box
 
 # Texts that stand for a missing value.
@@ -52,7 +52,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _percent(part: Column, whole: Column, digits: int) -> Column:
     """Half-even rounding; NULL for an empty table."""
-    return F.when(whole > 0, F.bround(F.lit(100.0) * part / whole, digits))
+    return F.when(whole > 0, round_half_even(F.lit(100.0) * part / whole, digits))
 
 
 def _long(df: DataFrame, per_column: list[Column]) -> DataFrame:

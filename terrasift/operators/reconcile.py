@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrasift.functions.numeric import round_half_even
 from terrasift.functions.places import Box, distance_km, inside_box, missing_coordinates
 from terrasift.functions.text import has_pattern, prefix_equals
 from terrasift.operators.joins import lookup_join
@@ -20,7 +21,7 @@ from terrasift.operators.profiling import group_sizes, side_flags
 
 
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    return F.when(whole > 0, F.bround(F.lit(100.0) * part / whole, digits))
+    return F.when(whole > 0, round_half_even(F.lit(100.0) * part / whole, digits))
 
 
 def _union(branches: Sequence[DataFrame]) -> DataFrame:
@@ -457,7 +458,7 @@ def duplicate_coordinates(df: DataFrame, lat: str, lon: str, digits: int = 4) ->
     """X11: rounded places shared by several rows."""
     rows = df.where(~missing_coordinates(lat, lon))
     return (
-        rows.groupBy(F.bround(lat, digits).alias("lat"), F.bround(lon, digits).alias("lon"))
+        rows.groupBy(round_half_even(F.col(lat), digits).alias("lat"), round_half_even(F.col(lon), digits).alias("lon"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
     )

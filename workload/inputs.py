@@ -110,9 +110,9 @@ INPUTS: dict[str, str] = {
                CASE WHEN k % 19 = 18 THEN NULL ELSE lower({_state("(k % 26)")}) || ' ' END AS admin1_pcode,
                'County ' || cast(k AS string) AS admin2,
                CASE WHEN k % 29 = 28 THEN NULL ELSE ' ' || {_county("(k - CASE WHEN k % 40 = 1 THEN 1 ELSE 0 END)")} END AS admin2_pcode,
-               total + CASE WHEN k % 15 = 14 THEN 150 WHEN k % 33 = 32 THEN -100000 ELSE 0 END AS population_2025,
+               total + CASE WHEN k % 15 = 14 THEN 150 WHEN k % 33 = 32 THEN -floor(total * 0.95) ELSE 0 END AS population_2025,
                {", ".join(f"CASE WHEN k % 45 = {40 + i % 4} AND {i} < 4 THEN -g{i} ELSE g{i} END AS {g}" for i, g in enumerate(_GROUPS))},
-               {", ".join(f"g{i} / total + CASE WHEN k % 27 = {19 + i} THEN 0.5 ELSE 0 END AS pct_{g}" for i, g in enumerate(_GROUPS))}
+               {", ".join(f"g{i} / total + CASE WHEN k % 27 = {19 + i} THEN 1 ELSE 0 END AS pct_{g}" for i, g in enumerate(_GROUPS))}
         FROM (SELECT l_suppkey AS k, sum(l_quantity) * 10 + 1 AS total,
                      {", ".join(f"sum(CASE WHEN (l_linenumber + l_orderkey) % 8 = {i} THEN l_quantity * 10 ELSE 0 END) AS g{i}" for i in range(8))}
               FROM {{lineitem}} GROUP BY l_suppkey) s
@@ -135,7 +135,7 @@ INPUTS: dict[str, str] = {
                cast(c_custkey % 50 AS string) || '.25' AS col_10, '-' || cast(c_custkey % 40 AS string) AS col_11,
                cast(c_custkey % 1200 AS string) AS col_12, ' 12 ' AS col_13,
                CASE WHEN c_custkey % 25 = 24 THEN '12.5' ELSE cast(c_custkey % 6 AS string) || '.125' END AS col_14,
-               cast(c_custkey % 800 AS string) AS col_15, cast(c_custkey % 1900 AS string) AS col_16
+               cast(c_custkey % 800 AS string) AS col_15, cast(c_custkey * 3 % 1900 AS string) AS col_16
         FROM {{customer}}
         UNION ALL
         SELECT 'Admin 1', 'Admin 1 P-Code', 'Admin 2', 'Admin 2 P-Code', 'Projection', 'Group', 'CCCM', 'a', 'b', 'c', 'd', 'e', 'f', 'g', 'h', 'i', 'j'

@@ -237,13 +237,13 @@ B_SQL = {
 _DERIVED = ("children_under_5", "working_age_population", "elderly_population", "children_5_17", "male_population", "female_population")
 view(
     "population_broken",
-    f"select * replace ({', '.join(f'{d} + case when length(admin2) % 2 = 0 then 60 else 0 end as {d}' for d in _DERIVED)}, case when admin2 like '%7' then 'ADMIN1' else record_type end as record_type, is_country_total or admin2 like '%5' as is_country_total) from population_stage",
+    f"select * replace ({', '.join(f'{d} + case when length(admin2) % 2 = 0 then 6000 else 0 end as {d}' for d in _DERIVED)}, case when admin2 like '%7' then 'ADMIN1' else record_type end as record_type, is_country_total or admin2 like '%5' as is_country_total) from population_stage",
 )
 _BROKEN = ("B04", "B09", "B10", "B12", "B14", "B15", "B16", "B17", "B18")
 
 
 def broken_population(t):
-    off = F.when(F.length("admin2") % 2 == 0, F.lit(60)).otherwise(F.lit(0))
+    off = F.when(F.length("admin2") % 2 == 0, F.lit(6000)).otherwise(F.lit(0))
     return staged_population(t).withColumns(
         {
             **{d: (c(d) + off) for d in _DERIVED},
