@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +55,12 @@ def _row_bytes(df: DataFrame) -> Column:
     return width
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    """Spread rows over the salts; copies of one row in different partitions differ too."""
+def row_salt(df: DataFrame, salts: int) -> Column:
+    """Spread rows over the salts; copies of one row in different partitions differ too.
+
+    The value depends only on the row and its input partition, so a retried
+    task deals its rows out the same way again.
+    """
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id(), F.lit(salts))
 
 
@@ -83,7 +88,10 @@ def salted_join(
     on = list(on)
     # Broadcasting the hot keys is safe: their number is bounded by 1 / fraction.
     hot = F.broadcast(hot_keys(big, on, fraction))
-    left = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), _row_salt(big, salts)).otherwise(F.lit(0)))
+    # A NULL key matches nothing, so rows without a key may go anywhere.
+    keyless = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in on])
+    spread_out = F.coalesce(F.col("_hot"), F.lit(False)) | keyless
+    left = big.join(hot, on, "left").withColumn("_salt", F.when(spread_out, row_salt(big, salts)).otherwise(F.lit(0)))
     spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(hot, on, "left").withColumn("_salt", F.explode(spread)).drop("_hot")
     right = right.withColumn("_salt", F.col("_salt").cast("bigint"))
@@ -102,10 +110,3 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Sequence[str] | str, how
         return fact.join(F.broadcast(lookup), keys, how)
     return salted_join(fact, lookup, keys, how)
 
-
-def null_safe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rewrite join keys so that NULL equals NULL, as an extra flag per key."""
-    out = df
-    for k in keys:
-        out = out.withColumn(f"_null_{k}", F.col(k).isNull()).withColumn(k, F.coalesce(F.col(k), F.lit("")))
-    return out

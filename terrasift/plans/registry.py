@@ -10,10 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrasift.operators.joins import lookup_join
+
 DATASET_SCHEMA = "id bigint, name string, description string, owner string, priority int"
 SOURCE_SCHEMA = "id bigint, dataset_id bigint, type string, path string, file_type string"
 TARGET_SCHEMA = "id bigint, dataset_id bigint, database string, schema string, table string"
@@ -55,34 +58,44 @@ def new_datasets(descriptions: DataFrame, existing: DataFrame) -> DataFrame:
 
 def _with_dataset(descriptions: DataFrame, datasets: DataFrame) -> DataFrame:
     ids = datasets.select(F.col("id").alias("dataset_id"), "name")
-    return descriptions.where(F.col("error").isNull()).join(ids, "name")
+    return lookup_join(descriptions.where(F.col("error").isNull()), ids, "name", "inner")
 
 
 def unresolved(descriptions: DataFrame, datasets: DataFrame) -> DataFrame:
     """Files left out: unreadable ones, and those whose dataset is not registered."""
     bad = descriptions.where(F.col("error").isNotNull()).select("file", "error")
-    lost = descriptions.where(F.col("error").isNull()).join(datasets.select("name"), "name", "left_anti")
+    named = descriptions.where(F.col("error").isNull())
+    lost = lookup_join(named, datasets.select("name"), "name", "left_anti")
     return bad.unionByName(lost.select("file", F.concat(F.lit("dataset not registered: "), "name").alias("error")))
 
 
-def _same(new: str, old: str, cols: Sequence[str]) -> Column:
-    """A new row repeats an old one when all its non-NULL fields agree."""
-    tests = [F.col(f"{new}.{c}").isNull() | (F.col(f"{new}.{c}") == F.col(f"{old}.{c}")) for c in cols]
-    return reduce(lambda a, b: a & b, tests, F.col(f"{new}.dataset_id") == F.col(f"{old}.dataset_id"))
+def _content_key(pattern: Sequence[bool], fields: Sequence[str]) -> Column:
+    """Text key of the fields the pattern keeps."""
+    kept = [F.col(f).cast("string") if keep else F.lit(None).cast("string") for keep, f in zip(pattern, fields)]
+    return F.to_json(F.array(F.col("dataset_id").cast("string"), *kept))
 
 
 def _new_children(rows: DataFrame, existing: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Rows repeating neither the table nor an earlier file of the batch.
 
-    Candidates are reduced to one row per distinct content first, and meet only
-    rows of their own dataset.
+    A row repeats another when all its non-NULL fields agree. Every row is
+    entered under each subset of its filled fields with the earliest file that
+    has them, so a row finds what it repeats by one key instead of being
+    compared with the other rows of its dataset.
     """
     batch = rows.groupBy("dataset_id", *fields).agg(F.min("file").alias("file"))
-    fresh = batch.alias("n").join(existing.alias("o"), _same("n", "o", fields), "left_anti")
-    first = fresh.alias("n").join(
-        fresh.alias("e"), _same("n", "e", fields) & (F.col("e.file") < F.col("n.file")), "left_anti"
-    )
-    return first.select(F.xxhash64("dataset_id", *fields).alias("id"), "dataset_id", *fields)
+    known = existing.select("dataset_id", *fields, F.lit("").alias("file")).unionByName(batch)
+    patterns = list(product((True, False), repeat=len(fields)))
+
+    def filled(pattern: Sequence[bool]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f).isNotNull() for k, f in zip(pattern, fields) if k], F.lit(True))
+
+    entries = F.array_compact(F.array(*[F.when(filled(p), _content_key(p, fields)) for p in patterns]))
+    earliest = known.select(F.explode(entries).alias("_key"), "file").groupBy("_key").agg(F.min("file").alias("_first"))
+    own = F.to_json(F.array(*[F.col(c).cast("string") for c in ("dataset_id", *fields)]))
+    # The batch holds each content once, so no key repeats on either side.
+    fresh = batch.withColumn("_key", own).join(earliest, "_key").where(F.col("_first") == F.col("file"))
+    return fresh.select(F.xxhash64("dataset_id", *fields).alias("id"), "dataset_id", *fields)
 
 
 def new_sources(descriptions: DataFrame, datasets: DataFrame, existing: DataFrame) -> DataFrame:

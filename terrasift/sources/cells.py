@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NUMBER, TEXT, FLAG, MOMENT = "n", "s", "b", "d"
 
@@ -28,12 +29,22 @@ def read_files(spark, path: str, suffixes: tuple[str, ...]) -> DataFrame:
     return reader.load(path).select("path", "content")
 
 
-def type_cells(records: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns from the ``cells`` array, typed by one aggregate over the kinds."""
+def schema_of(schema: T.StructType | str | None) -> T.StructType | None:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def type_cells(
+    records: DataFrame, names: list[str], keep: tuple[str, ...] = (), schema: T.StructType | None = None
+) -> DataFrame:
+    """Columns from the ``cells`` array, typed by the schema or else by one aggregate over the kinds."""
 
     def at(i: int) -> Column:
         return F.get("cells", F.lit(i))
 
+    if schema is not None:
+        typed = [F.substring(at(i), 2, 2**31 - 1).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+        return records.select(*[F.col(k) for k in keep], *typed)
+
     def kind(i: int, k: str) -> Column:
         return F.count_if(at(i).startswith(k))
 

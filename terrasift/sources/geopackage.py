@@ -9,9 +9,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrasift.functions.geometry import from_wkb
-from terrasift.sources.cells import BATCH_ROWS, NUMBER, TEXT, cell, read_files, type_cells
+from terrasift.sources.cells import BATCH_ROWS, NUMBER, TEXT, cell, read_files, schema_of, type_cells
 
 # Bytes taken by the envelope for each envelope code of the blob header.
 _ENVELOPE_BYTES = (0, 32, 48, 48, 64)
@@ -89,22 +90,29 @@ def _records(names: list[str]):
     return decode
 
 
-def decode_geopackages(files: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """Features of all files in a (path, content) frame."""
-    heads = files.mapInPandas(_names, "path string, names array<string>")
-    spread = heads.select(F.posexplode("names").alias("at", "name"))
-    # Bounded by the number of attributes, not by the features.
-    names = [r["name"] for r in spread.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()]
+def decode_geopackages(
+    files: DataFrame, geometry: str = "geometry", schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Features of all files in a (path, content) frame; a schema of the attributes saves two passes."""
+    schema = schema_of(schema)
+    if schema is not None:
+        names = schema.names
+    else:
+        heads = files.mapInPandas(_names, "path string, names array<string>")
+        spread = heads.select(F.posexplode("names").alias("at", "name"))
+        # Bounded by the number of attributes, not by the features.
+        found = spread.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+        names = [r["name"] for r in found]
     records = files.mapInPandas(_records(names), "srid int, wkb binary, cells array<string>")
-    typed = type_cells(records, names, keep=("srid", "wkb"))
+    typed = type_cells(records, names, keep=("srid", "wkb"), schema=schema)
     parsed = typed.withColumn(geometry, from_wkb("wkb"))
     located = parsed.withColumn(geometry, F.col(geometry).withField("srid", F.col("srid")))
     return located.select(*names, geometry)
 
 
-def read_geopackages(spark: SparkSession, path: str) -> DataFrame:
+def read_geopackages(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """S3: one file, or every file below a folder."""
-    return decode_geopackages(read_files(spark, path, (".gpkg",)))
+    return decode_geopackages(read_files(spark, path, (".gpkg",)), schema=schema)
 
 
 def geopackage_bytes(table: str, names: list[str], rows: list[tuple], srid: int = 4326) -> bytes:

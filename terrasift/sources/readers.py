@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrasift.functions.geometry import DEFAULT_SRID, from_geojson
+from terrasift.sources.cells import schema_of
 from terrasift.sources.geopackage import read_geopackages
 from terrasift.sources.typing import infer_types, tokens_to_null
 from terrasift.sources.workbook import read_workbooks
@@ -39,8 +40,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     text = tokens_to_null(reader.csv(path))
     if schema is None:
         return infer_types(text)
-    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema_of(schema).fields])
 
 
 _FEATURES = (
@@ -49,21 +49,31 @@ _FEATURES = (
 )
 
 
-def read_geojson(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
+def read_geojson(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, geometry: str = "geometry"
+) -> DataFrame:
     """One row per feature, properties as columns, geometry as the struct.
 
-    The property names come from one aggregate over the keys; a named
-    reference system sets the SRID, otherwise the format's default holds.
+    Without a schema the property names come from one aggregate over the keys
+    and their types from another. A named reference system sets the SRID,
+    otherwise the format's default holds.
     """
     docs = spark.read.schema(_FEATURES).option("multiLine", True).json(path)
     epsg = F.regexp_extract(F.col("crs.properties.name"), r"EPSG:+([0-9]+)$", 1).try_cast("int")
     srid = F.coalesce(epsg, F.lit(DEFAULT_SRID)).alias("srid")
     features = docs.select(srid, F.posexplode("features").alias("at", "f")).select("srid", "f.properties", F.col("f.geometry").alias("g"))
-    # Names in order of first use; a bounded set, one per property.
-    entries = features.select(F.posexplode(F.map_keys("properties")).alias("at", "name"))
-    names = [r["name"] for r in entries.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()]
-    columns = [F.try_element_at("properties", F.lit(n)).alias(n) for n in names]
-    attributes = infer_types_keeping(features.select(*columns, "srid", "g"), names)
+    schema = schema_of(schema)
+    if schema is not None:
+        names = schema.names
+        columns = [F.try_element_at("properties", F.lit(f.name)).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+        attributes = features.select(*columns, "srid", "g")
+    else:
+        # Names in order of first use; a bounded set, one per property.
+        entries = features.select(F.posexplode(F.map_keys("properties")).alias("at", "name"))
+        found = entries.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+        names = [r["name"] for r in found]
+        columns = [F.try_element_at("properties", F.lit(n)).alias(n) for n in names]
+        attributes = infer_types_keeping(features.select(*columns, "srid", "g"), names)
     located = attributes.withColumn(geometry, from_geojson("g"))
     located = located.withColumn(geometry, F.col(geometry).withField("srid", F.col("srid")))
     return located.select(*names, geometry)
@@ -78,7 +88,7 @@ def infer_types_keeping(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in typed.fields], *rest)
 
 
-_READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_READERS: dict[str, Callable[..., DataFrame]] = {
     "csv": read_csv,
     "excel": read_workbooks,
     "geopackage": read_geopackages,
@@ -112,7 +122,7 @@ def read_source(
     if path.lower().endswith(".xls"):
         raise ExtractionError(f"'{path}' is a legacy binary workbook; save it as .xlsx")
     try:
-        df = read_csv(spark, path, schema) if kind == "csv" else _READERS[kind](spark, path)
+        df = _READERS[kind](spark, path, schema)
         if not df.columns:
             raise ExtractionError(f"Failed to extract data from '{path}' as '{file_type}': no columns")
         return df

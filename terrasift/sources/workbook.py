@@ -13,8 +13,9 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terrasift.sources.cells import BATCH_ROWS, FLAG, MOMENT, NUMBER, TEXT, cell, read_files, type_cells
+from terrasift.sources.cells import BATCH_ROWS, FLAG, MOMENT, NUMBER, TEXT, cell, read_files, schema_of, type_cells
 from terrasift.sources.typing import NA_TOKENS
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -142,20 +143,28 @@ def _record_batches(names: list[str]):
     return decode
 
 
-def decode_workbooks(files: DataFrame) -> DataFrame:
-    """Rows of all workbooks in a (path, content) frame, columns typed over all of them."""
-    heads = files.mapInPandas(_header_batches, "path string, names array<string>")
-    # The union of the headers is bounded by the sheet width, not by the rows.
-    spread = heads.select("path", F.posexplode("names").alias("at", "name"))
-    found = spread.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
-    names = [r["name"] for r in found]
+def decode_workbooks(files: DataFrame, schema: T.StructType | str | None = None) -> DataFrame:
+    """Rows of all workbooks in a (path, content) frame, columns typed over all of them.
+
+    With a schema the files are read once; without one, the headers and the
+    kinds of the cells are gathered first.
+    """
+    schema = schema_of(schema)
+    if schema is not None:
+        names = schema.names
+    else:
+        heads = files.mapInPandas(_header_batches, "path string, names array<string>")
+        # The union of the headers is bounded by the sheet width, not by the rows.
+        spread = heads.select("path", F.posexplode("names").alias("at", "name"))
+        found = spread.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()
+        names = [r["name"] for r in found]
     records = files.mapInPandas(_record_batches(names), "path string, cells array<string>")
-    return type_cells(records, names)
+    return type_cells(records, names, schema=schema)
 
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
+def read_workbooks(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One workbook, or every workbook below a folder."""
-    return decode_workbooks(read_files(spark, path, (".xlsx",)))
+    return decode_workbooks(read_files(spark, path, (".xlsx",)), schema)
 
 
 def workbook_bytes(names: list[str], rows: list[tuple]) -> bytes:

@@ -13,9 +13,14 @@ from pyspark.sql import types as T
 from terrasift.functions import geometry as G
 from terrasift.functions.numeric import nan_to_null
 from terrasift.operators.gate import geometry_columns
+from terrasift.operators.joins import row_salt
 from terrasift.operators.spatial import DEFAULT_CELL, grid_index
 
 LOAD_MODES = ("replace", "append")
+
+# Rows of one key or place can be split over up to this many ranges.
+_LAYOUT_SALTS = 1024
+
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
@@ -184,8 +189,8 @@ def spatial_layout(df: DataFrame, geometry: str, cell: float = DEFAULT_CELL) ->
     """K8: bounding box and grid cell as columns, rows near each other kept together.
 
     Parquet keeps the extremes of these columns per row group, so a box filter
-    skips most of the table. Range partitioning samples the cells and splits
-    crowded stretches by the box itself.
+    skips most of the table. Range partitioning splits a crowded cell by the
+    box itself, and a crowded spot by the row salt.
     """
     b = G.bounds(geometry)
     boxed = df.select(
@@ -194,13 +199,15 @@ def spatial_layout(df: DataFrame, geometry: str, cell: float = DEFAULT_CELL) ->
         grid_index(b["minx"], cell).alias("_cell_x"),
         grid_index(b["miny"], cell).alias("_cell_y"),
     )
-    order = ["_cell_x", "_cell_y", "_minx", "_miny"]
-    return boxed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return sorted_layout(boxed, "_cell_x", "_cell_y", "_minx", "_miny")
 
 
 def sorted_layout(df: DataFrame, *keys: str) -> DataFrame:
-    """K9: rows range-partitioned and sorted by the keys a later filter or join uses."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """K9: rows range-partitioned and sorted by the keys a later filter or join uses.
+
+    The salt behind the keys lets a range boundary fall inside a hot key.
+    """
+    return df.repartitionByRange(*keys, row_salt(df, _LAYOUT_SALTS)).sortWithinPartitions(*keys)
 
 
 def recreate_table(df: DataFrame, name: str, location: str | None = None) -> None:
@@ -215,8 +222,8 @@ def publish_view(df: DataFrame, name: str) -> None:
 
 
 def write_ordered(df: DataFrame, name: str, *order: str, location: str | None = None) -> None:
-    """Table whose files follow a total order."""
-    recreate_table(df.orderBy(*order), name, location)
+    """Table whose files follow a total order; ties may span files."""
+    recreate_table(df.orderBy(*order, row_salt(df, _LAYOUT_SALTS)), name, location)
 
 
 def bucketed_table(df: DataFrame, name: str, buckets: int, *keys: str, location: str | None = None) -> None:

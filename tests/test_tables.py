@@ -186,3 +186,27 @@ def test_models_resolve_their_inputs(spark):
     with pytest.raises(KeyError):
         models.build("health_facilities", {})
     assert models.build("x", {"x": spark.range(1)}).count() == 1
+
+
+def test_schemas_replace_inference(spark, landing):
+    kinds = {"t.csv": "csv", "t.xlsx": "excel"}
+    for file, kind in kinds.items():
+        df = readers.read_source(spark, str(landing / file), kind, "id int, value string")
+        assert [f.dataType.typeName() for f in df.schema.fields] == ["integer", "string"] and df.count() in (3, 4)
+    for file, kind in {"t.gpkg": "gpkg", "t.geojson": "geojson"}.items():
+        df = readers.read_source(spark, str(landing / file), kind, "name string, id string")
+        assert df.columns == ["name", "id", "geometry"] and df.orderBy("id").first()["id"] == "1"
+
+
+def test_null_skipping_registration(spark):
+    from terrasift.sources.metadata_files import DESCRIPTION_SCHEMA
+
+    def row(file, path, kind):
+        return (file, None, "d", "", "o", 1, True, "local", path, kind, "CSVLoader", 1, None, False, None, None, None)
+
+    rows = [row("1", "a", "csv"), row("2", "a", None), row("3", "b", "csv"), row("4", None, None), row("5", "a", "csv"), row("6", None, "excel")]
+    r = registry.register_all(spark.createDataFrame(rows, DESCRIPTION_SCHEMA), registry.empty_registry(spark))
+    got = {(x["path"], x["file_type"]) for x in r.source.collect()}
+    assert got == {("a", "csv"), ("b", "csv"), (None, "excel")}
+    later = spark.createDataFrame([row("7", "a", None), row("8", "c", "csv")], DESCRIPTION_SCHEMA)
+    assert [x["path"] for x in registry.new_sources(later, r.dataset, r.source).collect()] == ["c"]
