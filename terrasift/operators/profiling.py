@@ -389,25 +389,18 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     )
     # The statistics are one row; every data row meets it without a shuffle.
     rows = df.select(F.lit(1).alias("_one"), *[present(c).alias(f"v{i}") for i, c in enumerate(names)])
-    outliers = (
-        rows.join(F.broadcast(stats), "_one")
-        .groupBy("_one")
-        .agg(
-            *[F.first(f"s{i}").alias(f"s{i}") for i in range(len(names))],
-            *[
-                F.count_if(
-                    (F.col(f"s{i}.std") > 0)
-                    & (F.abs(F.try_divide(F.col(f"v{i}") - F.col(f"s{i}.mean"), F.col(f"s{i}.std"))) > 3)
-                ).alias(f"o{i}")
-                for i in range(len(names))
-            ],
-        )
+    outliers = rows.join(F.broadcast(stats), "_one").agg(
+        F.lit(1).alias("_one"),
+        *[
+            F.count_if(
+                (F.col(f"s{i}.std") > 0)
+                & (F.abs(F.try_divide(F.col(f"v{i}") - F.col(f"s{i}.mean"), F.col(f"s{i}.std"))) > 3)
+            ).alias(f"o{i}")
+            for i in range(len(names))
+        ],
     )
-    built = [
-        F.struct(F.col(f"s{i}").alias("s"), F.col(f"o{i}").alias("outliers_3std"))
-        for i in range(len(names))
-    ]
-    flat = outliers.select(F.inline(F.array(*built)))
+    built = [F.struct(F.col(f"s{i}").alias("s"), F.col(f"o{i}").alias("outliers_3std")) for i in range(len(names))]
+    flat = outliers.join(F.broadcast(stats), "_one").select(F.inline(F.array(*built)))
     return flat.select("s.*", "outliers_3std").where(F.col("total") > 0)
 
 

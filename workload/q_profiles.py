@@ -9,6 +9,7 @@ from terrasift.functions.places import PROFILE_BOX
 from terrasift.operators import catalog as C
 from terrasift.operators import gate as V
 from terrasift.operators import profiling as R
+from workload.inputs import spread
 from workload.registry import query
 
 c = F.col
@@ -156,7 +157,7 @@ def _(t):
 
 @query("v17_plain_frame", " union all ".join([*_NULLS, *_RANGE]))
 def _(t):
-    return findings(t.dirty_line, RULES)
+    return findings(spread(t.dirty_line), RULES)
 
 
 @query("v18_result", "select false as is_valid, cast(6 as bigint) as errors, cast(1 as bigint) as warnings, count(*) as checked_rows from dirty_line")
@@ -170,7 +171,7 @@ _BAD = f"[case when l_quantity < 3 then 'below_min:l_quantity' end, case when l_
 
 @query("l05_quarantine_split", f"select l_orderkey, l_linenumber, v <> '' as quarantined, v as violations from (select *, array_to_string(list_filter({_BAD}, lambda x: x is not null), ',') v from dirty_line)")
 def _(t):
-    good, bad = V.split(t.dirty_line, RULES)
+    good, bad = V.split(spread(t.dirty_line), RULES)
     keys = ["l_orderkey", "l_linenumber"]
     g = good.select(*keys, F.lit(False).alias("quarantined"), F.lit("").alias("violations"))
     return g.unionByName(bad.select(*keys, F.lit(True).alias("quarantined"), F.array_join("_violations", ",").alias("violations")))
@@ -311,7 +312,7 @@ def _numeric(x):
 
 @query("f11_numeric_profile", " union all ".join(_numeric(x) for x in ("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")))
 def _(t):
-    return R.numeric_profile(t.dirty_line).withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
+    return R.numeric_profile(spread(t.dirty_line)).withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
 
 
 def _category(x):
