@@ -30,6 +30,12 @@ SCHEMA = "terrasift_run"
 FILE_ROWS = 5000
 
 
+def schema(t) -> str:
+    """The database of the generated tables, placed below the shared scratch folder."""
+    t.spark.sql(f"create database if not exists {SCHEMA} location '{scratch_dir(t.spark)}'")
+    return SCHEMA
+
+
 def fresh_table() -> str:
     return f"t_{uuid.uuid4().hex}"
 
@@ -119,7 +125,7 @@ def _(t):
 
 @query("s06_table_scan", "select n_name, count(*) as n from customer join nation on c_nationkey = n_nationkey group by 1")
 def _(t):
-    names = [f"{SCHEMA}.{fresh_table()}" for _ in range(2)]
+    names = [f"{schema(t)}.{fresh_table()}" for _ in range(2)]
     for name, df in zip(names, (t.customer, t.nation)):
         writers.recreate_table(df, name, scratch_dir(t.spark))
     loaded = C.load_tables(t.spark, names)
@@ -162,42 +168,42 @@ def orders(t):
 @query("k01_replace_load", "select o_orderkey, o_totalprice from orders where o_orderkey % 2 = 0")
 def _(t):
     name = fresh_table()
-    writers.load_table(orders(t), SCHEMA, name, location=scratch_dir(t.spark))
-    view = t.spark.table(f"{SCHEMA}.{name}").select("o_orderkey", "o_totalprice")
+    writers.load_table(orders(t), schema(t), name, location=scratch_dir(t.spark))
+    view = t.spark.table(f"{schema(t)}.{name}").select("o_orderkey", "o_totalprice")
     view.createOrReplaceTempView(f"v_{name}")
-    writers.load_table(orders(t).where("o_orderkey % 2 = 0"), SCHEMA, name)
+    writers.load_table(orders(t).where("o_orderkey % 2 = 0"), schema(t), name)
     return t.spark.table(f"v_{name}")
 
 
 @query("k02_append_load", "select o_orderkey, count(*) as n from (select o_orderkey from orders union all select o_orderkey from orders where o_orderkey % 3 = 0) group by 1")
 def _(t):
     name = fresh_table()
-    writers.load_table(orders(t), SCHEMA, name, "append", location=scratch_dir(t.spark))
-    writers.load_table(orders(t).where("o_orderkey % 3 = 0"), SCHEMA, name, "append")
-    return t.spark.table(f"{SCHEMA}.{name}").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    writers.load_table(orders(t), schema(t), name, "append", location=scratch_dir(t.spark))
+    writers.load_table(orders(t).where("o_orderkey % 3 = 0"), schema(t), name, "append")
+    return t.spark.table(f"{schema(t)}.{name}").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k03_create_from_types", "select c_custkey, c_acctbal, cast(c_nationkey as bigint) as c_nationkey, c_custkey % 2 = 0 as even from customer")
 def _(t):
     name = fresh_table()
-    writers.load_table(t.customer.select("c_custkey", c("c_acctbal").cast("float").cast("double").alias("x"), "c_acctbal", "c_nationkey", (c("c_custkey") % 2 == 0).alias("even")).drop("x"), SCHEMA, name, location=scratch_dir(t.spark))
-    return t.spark.table(f"{SCHEMA}.{name}")
+    writers.load_table(t.customer.select("c_custkey", c("c_acctbal").cast("float").cast("double").alias("x"), "c_acctbal", "c_nationkey", (c("c_custkey") % 2 == 0).alias("even")).drop("x"), schema(t), name, location=scratch_dir(t.spark))
+    return t.spark.table(f"{schema(t)}.{name}")
 
 
 @query("k04_additive_columns", "select o_orderkey, o_custkey, o_totalprice, null as o_orderstatus from orders where o_orderkey % 2 = 0 union all select o_orderkey, null, null, o_orderstatus from orders where o_orderkey % 2 = 1")
 def _(t):
     name = fresh_table()
-    writers.load_table(orders(t).where("o_orderkey % 2 = 0"), SCHEMA, name, location=scratch_dir(t.spark))
-    writers.load_table(t.orders.where("o_orderkey % 2 = 1").select("o_orderstatus", "o_orderkey"), SCHEMA, name, "append")
-    return t.spark.table(f"{SCHEMA}.{name}")
+    writers.load_table(orders(t).where("o_orderkey % 2 = 0"), schema(t), name, location=scratch_dir(t.spark))
+    writers.load_table(t.orders.where("o_orderkey % 2 = 1").select("o_orderstatus", "o_orderkey"), schema(t), name, "append")
+    return t.spark.table(f"{schema(t)}.{name}")
 
 
 @query("k05_batched_insert", "select l_orderkey, l_linenumber, case when l_orderkey % 7 = 0 then null else l_tax end as \"tax %\" from lineitem")
 def _(t):
     name = fresh_table()
     dirty = t.lineitem.select("l_orderkey", "l_linenumber", F.when(c("l_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(c("l_tax")).alias("tax %"))
-    writers.load_table(dirty, SCHEMA, name, chunk_size=1000, location=scratch_dir(t.spark))
-    return t.spark.table(f"{SCHEMA}.{name}").withColumn("l_linenumber", c("l_linenumber").cast("int"))
+    writers.load_table(dirty, schema(t), name, chunk_size=1000, location=scratch_dir(t.spark))
+    return t.spark.table(f"{schema(t)}.{name}").withColumn("l_linenumber", c("l_linenumber").cast("int"))
 
 
 def sites(t):
@@ -207,37 +213,37 @@ def sites(t):
 @query("k07_spatial_load", "select row_id, longitude as x, latitude as y, floor(longitude) as cx from facility_a_raw where latitude is not null and longitude is not null")
 def _(t):
     name = fresh_table()
-    writers.load_spatial(sites(t), SCHEMA, name, location=scratch_dir(t.spark))
-    out = t.spark.table(f"{SCHEMA}.{name}")
+    writers.load_spatial(sites(t), schema(t), name, location=scratch_dir(t.spark))
+    out = t.spark.table(f"{schema(t)}.{name}")
     return out.select("row_id", G.point_x("geometry").alias("x"), G.point_y("geometry").alias("y"), c("_cell_x").cast("double").alias("cx"))
 
 
 @query("k08_spatial_layout_box_scan", "select row_id from facility_a_raw where longitude between 25 and 27 and latitude between 4 and 6")
 def _(t):
     name = fresh_table()
-    writers.recreate_table(writers.spatial_layout(sites(t), "geometry"), f"{SCHEMA}.{name}", scratch_dir(t.spark))
-    return t.spark.table(f"{SCHEMA}.{name}").where("_minx between 25 and 27 and _miny between 4 and 6").select("row_id")
+    writers.recreate_table(writers.spatial_layout(sites(t), "geometry"), f"{schema(t)}.{name}", scratch_dir(t.spark))
+    return t.spark.table(f"{schema(t)}.{name}").where("_minx between 25 and 27 and _miny between 4 and 6").select("row_id")
 
 
 @query("k09_sorted_layout", "select o_orderkey, o_totalprice from orders where o_custkey between 10 and 20")
 def _(t):
     name = fresh_table()
-    writers.recreate_table(writers.sorted_layout(orders(t), "o_custkey"), f"{SCHEMA}.{name}", scratch_dir(t.spark))
-    return t.spark.table(f"{SCHEMA}.{name}").where("o_custkey between 10 and 20").select("o_orderkey", "o_totalprice")
+    writers.recreate_table(writers.sorted_layout(orders(t), "o_custkey"), f"{schema(t)}.{name}", scratch_dir(t.spark))
+    return t.spark.table(f"{schema(t)}.{name}").where("o_custkey between 10 and 20").select("o_orderkey", "o_totalprice")
 
 
 @query("k09_bucketed_join", "select c_mktsegment, count(*) as n from orders join customer on o_custkey = c_custkey group by 1")
 def _(t):
     a, b = fresh_table(), fresh_table()
-    writers.bucketed_table(orders(t).withColumnRenamed("o_custkey", "k"), f"{SCHEMA}.{a}", 8, "k", location=scratch_dir(t.spark))
-    writers.bucketed_table(t.customer.select(c("c_custkey").alias("k"), "c_mktsegment"), f"{SCHEMA}.{b}", 8, "k", location=scratch_dir(t.spark))
-    joined = t.spark.table(f"{SCHEMA}.{a}").join(t.spark.table(f"{SCHEMA}.{b}"), "k")
+    writers.bucketed_table(orders(t).withColumnRenamed("o_custkey", "k"), f"{schema(t)}.{a}", 8, "k", location=scratch_dir(t.spark))
+    writers.bucketed_table(t.customer.select(c("c_custkey").alias("k"), "c_mktsegment"), f"{schema(t)}.{b}", 8, "k", location=scratch_dir(t.spark))
+    joined = t.spark.table(f"{schema(t)}.{a}").join(t.spark.table(f"{schema(t)}.{b}"), "k")
     return joined.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k10_drop_and_create", "select o_custkey, sum(o_totalprice) as total from orders group by 1")
 def _(t):
-    name, where = f"{SCHEMA}.{fresh_table()}", scratch_dir(t.spark)
+    name, where = f"{schema(t)}.{fresh_table()}", scratch_dir(t.spark)
     writers.recreate_table(orders(t), name, where)
     writers.recreate_table(t.orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total")), name, where)
     return t.spark.table(name)
@@ -245,13 +251,13 @@ def _(t):
 
 @query("k11_publish_view", "select county_code, county_name, state_code from county_stage")
 def _(t):
-    M.materialise("stg_county_boundary", {"gis.county_boundary": t.counties}, SCHEMA)
+    M.materialise("stg_county_boundary", {"gis.county_boundary": t.counties}, schema(t))
     return t.spark.table("stg_county_boundary").select("county_code", "county_name", "state_code")
 
 
 @query("k12_ordered_table", "select o_orderkey, o_custkey, o_totalprice from orders order by o_custkey, o_orderkey")
 def _(t):
-    name = f"{SCHEMA}.{fresh_table()}"
+    name = f"{schema(t)}.{fresh_table()}"
     writers.write_ordered(orders(t), name, "o_custkey", "o_orderkey", location=scratch_dir(t.spark))
     return t.spark.table(name)
 
@@ -325,7 +331,7 @@ def landing_registry(t, parts: int):
     base, rows = scratch_dir(t.spark), []
     for i in range(parts):
         path = write_csv(landing(t).where(c("c_custkey") % parts == i), f"{base}/{i}")
-        rows.append((f"{i}.yml", None, f"part_{i}", "", "o", i, True, "local_file", path, "csv", "CSVLoader", 5000, "replace", True, "db", SCHEMA, fresh_table()))
+        rows.append((f"{i}.yml", None, f"part_{i}", "", "o", i, True, "local_file", path, "csv", "CSVLoader", 5000, "replace", True, "db", schema(t), fresh_table()))
     from terrasift.sources.metadata_files import DESCRIPTION_SCHEMA
 
     return R.register_all(t.spark.createDataFrame(rows, DESCRIPTION_SCHEMA), R.empty_registry(t.spark))
@@ -341,8 +347,8 @@ def _(t):
 @query("l02_ungated_load", _LANDING)
 def _(t):
     name = fresh_table()
-    L.ingest(t.spark, write_csv(landing(t), scratch_dir(t.spark)), "csv", "CSVLoader", SCHEMA, name)
-    return t.spark.table(f"{SCHEMA}.{name}")
+    L.ingest(t.spark, write_csv(landing(t), scratch_dir(t.spark)), "csv", "CSVLoader", schema(t), name)
+    return t.spark.table(f"{schema(t)}.{name}")
 
 
 @query("l04_run_all", "select 'part_' || i as dataset, count(*) as n from (select c_custkey % 3 i from customer) group by 1")
