@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,6 +31,23 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, warehouse
     return spark
 
 
+# Applications whose workers already have the code.
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import the packages of this repository, wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    build = tempfile.mkdtemp(prefix="terrasift-code-")
+    for package in ("terrasift", "workload"):
+        if os.path.isdir(os.path.join(root, package)):
+            spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(build, package), "zip", root, package))
+    _shipped.add(app)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 
