@@ -136,25 +136,33 @@ def disclosing_terms(spans: DataFrame) -> DataFrame:
         _entity(F.col("s")).alias("entity"), F.xxhash64(before, after).alias("context"),
         F.lower(F.concat(before, F.lit(" "), after)).alias("words"), "doc",
     )
+    contexts = saved(contexts)
+    total = float(spans.count())
     # A context counts once however many documents hold it, and a document once
     # however many contexts it adds.
     entities = contexts.groupBy("entity", "context").agg(F.min("doc").alias("doc")).select("entity", "doc").distinct()
     entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
     terms = F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(_LETTERS), F.lit(0)))).alias("term")
-    pairs = contexts.select("entity", "context", "doc", terms).groupBy("entity", "term", "context").agg(F.min("doc").alias("doc"))
+    seen = contexts.select("entity", "context", "doc", terms)
+    pairs = seen.groupBy("entity", "term", "context").agg(F.min("doc").alias("doc"))
     pairs = pairs.select("entity", "term", "doc").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = pairs.where(F.col("n_both") >= SUPPORT)
-    pairs = saved(pairs.join(entities, "entity"))
+    pairs = pairs.where(F.col("n_both") >= SUPPORT).join(entities, "entity")
+
+    def reveals(n_term: str) -> Column:
+        pmi = F.log(F.col("n_both") * total / (F.col(n_term) * F.col("n_entity")))
+        return pmi >= DISCLOSURE * F.log(F.lit(total) / F.col("n_entity"))
+
+    # A term is in at least as many documents as there are with it near an entity;
+    # the pairs that fail even by that number, such as common words, go first.
+    least = seen.select("term", "doc").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
+    pairs = saved(pairs.join(least, "term").where(reveals("n_least")).drop("n_least"))
     if pairs.isEmpty():
         return pairs.select("entity", "term")
     # In how many documents of the corpus each of these terms stands.
     words = spans.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))).alias("term"))
     known = saved(pairs.select("term").distinct())
     counts = narrow_join(words, known, ["term"], "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = float(spans.count())
-    pmi = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
-    ic = F.log(F.lit(total) / F.col("n_entity"))
-    return pairs.join(counts, "term").where(pmi >= DISCLOSURE * ic).select("entity", "term")
+    return pairs.join(counts, "term").where(reveals("n_term")).select("entity", "term")
 
 
 def with_all_spans(docs: DataFrame) -> DataFrame:
