@@ -10,8 +10,8 @@ A document is the set of its distinct word n-grams; two documents link when
    passage found everywhere makes no bucket. Frequent n-grams are found by
    lossy counting over all documents; a missed one costs time, never a link.
 3. Each n-gram held in two or more prefixes is a bucket. Buckets with the same
-   classes are one. The classes of a bucket go to signature trees, which are
-   joined by dual traversal, and survivors are verified on whole sets.
+   classes are one. The classes of a bucket go to signature trees over bitmaps,
+   joined by dual traversal; what they cannot rule out is verified on whole sets.
 4. Three rounds: each class in one bucket; one class for each component left in
    a bucket; then, for completeness, all classes of the buckets that still hold
    several components. A bucket above ``BLOCK`` classes is split into blocks,
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrasift.llm.common import components, groups, narrow_join, saved, small_batches
-from terrasift.llm.signature_tree import links
+from terrasift.llm.signature_tree import bitmap, links, survivors, width_for
 
 # Classes that one tree holds at most.
 BLOCK = 400
@@ -86,49 +86,77 @@ def _sets(batches, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]
         yield batch, [shingle_set(t.as_py(), size, hashes) for t in batch.column("text")]
 
 
+class _Counter:
+    """Lossy counting: the n-grams seen most, within a fixed number of counters."""
+
+    def __init__(self):
+        self.seen, self.counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, sets: list[np.ndarray]) -> None:
+        self.waiting += sets
+        self.size += sum(map(len, sets))
+        if self.size > _COUNTERS // 2:
+            self._merge()
+            if len(self.seen) > _COUNTERS // 2:
+                self._keep(self.counts > 1)
+            if len(self.seen) > _COUNTERS // 2:
+                self._keep(np.sort(np.argpartition(self.counts, -_COUNTERS // 4)[-_COUNTERS // 4 :]))
+
+    def _keep(self, which) -> None:
+        self.seen, self.counts = self.seen[which], self.counts[which]
+
+    def _merge(self) -> None:
+        both = np.concatenate([self.seen, *self.waiting])
+        weight = np.concatenate([self.counts, np.ones(len(both) - len(self.seen), dtype=np.int64)])
+        self.seen, at = np.unique(both, return_inverse=True)
+        self.counts = np.bincount(at, weights=weight).astype(np.int64)
+        self.waiting, self.size = [], 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        self._merge()
+        self._keep(self.counts > 1)
+        return self.seen, self.counts
+
+
 def _described(df: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, cls); cls is null for empty sets."""
+    """One pass over all texts: a row (doc_id, n_shingles, cls, bits) for each
+    document, and rows (gram, seen) of n-grams that several documents of a task hold."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("bits", pa.binary()), ("gram", pa.int64()), ("seen", pa.int64())]
+    )
 
     def run(batches):
+        counter = _Counter()
         for batch, sets in _sets(batches, size):
+            counter.add(sets)
+            none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n_shingles", "cls"],
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([bitmap(s, width_for(len(s))).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array(none, pa.int64()),
+                    pa.array(none, pa.int64()),
+                ],
+                schema=schema,
+            )
+        grams, seen = counter.result()
+        for at in range(0, len(grams), 50_000):
+            part = slice(at, at + 50_000)
+            none = pa.nulls(len(grams[part]), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, none, pa.nulls(len(none), pa.binary()), pa.array(grams[part].view(np.int64)), pa.array(seen[part])], schema=schema
             )
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, cls long")
-
-
-def _frequent(df: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent n-grams, sorted, with the rank of their frequency; at most FREQUENT_MAX."""
-
-    def run(batches):
-        seen, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-        waiting: list[np.ndarray] = []
+    return df.mapInArrow(run, "doc_id long, n_shingles long, cls long, bits binary, gram long, seen long")
 
-        def merged():
-            both = np.concatenate([seen, *waiting])
-            weight = np.concatenate([counts, np.ones(len(both) - len(seen), dtype=np.int64)])
-            values, at = np.unique(both, return_inverse=True)
-            return values, np.bincount(at, weights=weight).astype(np.int64)
 
-        for _, sets in _sets(batches, size):
-            waiting += sets
-            if sum(map(len, waiting)) > _COUNTERS // 2:
-                seen, counts = merged()
-                waiting = []
-                if len(seen) > _COUNTERS // 2:
-                    seen, counts = seen[counts > 1], counts[counts > 1]
-                if len(seen) > _COUNTERS // 2:
-                    top = np.sort(np.argpartition(counts, -_COUNTERS // 4)[-_COUNTERS // 4 :])
-                    seen, counts = seen[top], counts[top]
-        if waiting or len(seen):
-            seen, counts = merged()
-        seen, counts = seen[counts > 1], counts[counts > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(counts)], ["gram", "n"])
-
-    total = df.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    total = saved(total.where(F.col("n") >= FREQUENT_LEAST))
+def _frequent(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent n-grams, sorted, with the number of documents; at most FREQUENT_MAX."""
+    total = saved(counted.groupBy("gram").agg(F.sum("seen").alias("n")).where(F.col("n") >= FREQUENT_LEAST))
     # The most frequent that fit: thresholds of equal ratio, from counts per power.
     powers = total.groupBy(F.floor(F.log2("n") * 4).alias("p")).count().collect()
     room, least = FREQUENT_MAX, None
@@ -179,6 +207,26 @@ def _tree_links(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return tasks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
+def _pruned(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The rows (bucket, cls, comp) whose class has a partner of another component in
+    the bucket that the signature trees over bitmaps cannot rule out."""
+    keys = ["bucket", "block", "block2"]
+
+    def run(batches):
+        for group in groups(batches, keys):
+            comp, side, n = (group.column(c).to_numpy() for c in ("comp", "side", "n"))
+            if len(comp) < 2 or comp.min() == comp.max():
+                continue
+            rows = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in group.column("bits")]
+            alive = survivors(rows, n, comp, percent, None if (side == 0).all() else side)
+            if alive.any():
+                yield pa.RecordBatch.from_arrays([group.column(c).filter(pa.array(alive)).combine_chunks() for c in ("bucket", "cls", "comp")], ["bucket", "cls", "comp"])
+
+    tasks = _block_pairs(members).join(bits, "cls").select(*keys, "cls", "comp", "side", "n", "bits")
+    tasks = tasks.repartition(*keys).sortWithinPartitions(*keys)
+    return saved(tasks.mapInArrow(run, "bucket long, cls long, comp long").distinct())
+
+
 def stars(pairs: list[tuple[int, int]]) -> np.ndarray:
     """(root, node) rows that join what the pairs join, every node right below its least one."""
     up: dict[int, int] = {}
@@ -255,10 +303,10 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     small_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = base.where("doc_id is not null")
-    described = saved(_described(base, size))
+    passed = saved(_described(base, size))
+    described = passed.where("gram is null").select("doc_id", "n_shingles", "cls")
     classes = described.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-
-    grams, counts = _frequent(named, size)
+    grams, counts = _frequent(passed.where("gram is not null"))
     shared_grams, shared_counts = spark.sparkContext.broadcast(grams), spark.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -273,13 +321,19 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
                 ["bucket", "cls"],
             )
 
-    prefixes = named.mapInArrow(run, "bucket long, cls long")
+    prefixes = saved(named.mapInArrow(run, "bucket long, cls long"))
     held = prefixes.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
     shared = saved(held.select("bucket"))
-    members = saved(narrow_join(prefixes, shared, ["bucket"], "left_semi").distinct())
+    members = narrow_join(prefixes, shared, ["bucket"], "left_semi").distinct()
+    members = saved(_one_of_equal_lists(saved(members), "cls"))
+
+    # Only classes that a bitmap finds a partner for are looked at with their sets.
+    bits = passed.where("gram is null and cls is not null").select("cls", F.col("n_shingles").alias("n"), "bits")
+    bits = saved(bits.join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]))
+    members = _pruned(members.withColumn("comp", F.col("cls")), bits, percent).select("bucket", "cls")
     members = saved(_one_of_equal_lists(members, "cls"))
 
-    # Whole sets of the classes that any bucket holds, from one document each.
+    # Whole sets of the classes left, from one document each.
     wanted = members.select("cls").distinct().join(classes, "cls")
     ids = saved(wanted.select(F.col("rep").alias("doc_id"), "cls"))
 
@@ -318,7 +372,8 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
         comps = joined(_tree_links(hubs.join(sets, "cls").withColumn("side", F.lit(0)), ["bucket", "block"], percent))
 
         # Round 3: every pair of different components that share a bucket.
-        pairs = _block_pairs(saved(several(known_components())))
+        left = _pruned(saved(several(known_components())), bits, percent)
+        pairs = _block_pairs(left)
         comps = joined(_tree_links(pairs.join(sets, "cls"), ["bucket", "block", "block2"], percent))
 
     # Components of classes become those of documents.

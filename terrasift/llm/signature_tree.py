@@ -11,7 +11,7 @@ import numpy as np
 
 FANOUT = 8
 # Bits per element of the largest set, within limits; more bits prune more.
-_BITS_PER_ITEM, _LEAST_BITS, _MOST_BITS = 4, 512, 1 << 15
+_BITS_PER_ITEM, _LEAST_BITS, _MOST_BITS = 2, 512, 1 << 15
 
 
 class _Level:
@@ -49,19 +49,66 @@ class _Level:
         return i[keep], j[keep]
 
 
-def _leaves(sets, comp, side) -> _Level:
-    largest = max(len(s) for s in sets)
+def width_for(n: int) -> int:
+    """Bits of the bitmap of a set of n elements."""
     width = _LEAST_BITS
-    while width < min(_MOST_BITS, _BITS_PER_ITEM * largest):
+    while width < min(_MOST_BITS, _BITS_PER_ITEM * n):
         width *= 2
-    bits = np.zeros((len(sets), width // 64), dtype=np.uint64)
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    for row, s in zip(bits, sets, strict=True):
-        # Any bits of the hash but those that the bucket key may have fixed.
-        at = (s >> np.uint64(7)) & np.uint64(width - 1)
-        np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return width
+
+
+def bitmap(s: np.ndarray, width: int) -> np.ndarray:
+    """A set of hashes as a bitmap of 64-bit words."""
+    row = np.zeros(width // 64, dtype=np.uint64)
+    at = (s >> np.uint64(7)) & np.uint64(width - 1)
+    np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return row
+
+
+def folded(row: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap as it would be with fewer bits."""
+    return np.bitwise_or.reduce(row.reshape(-1, width // 64), axis=0)
+
+
+def _pairs(bits: np.ndarray, size: np.ndarray, comp: np.ndarray, side: np.ndarray, percent: int, across: bool):
+    """Index pairs that dual traversal of the tree over these leaves cannot rule out."""
     spare = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-    return _Level(bits, size, size, spare, comp, comp, side, side)
+    levels = [_Level(bits, size, size, spare, comp, comp, side, side)]
+    while len(levels[-1]) > 1:
+        levels.append(levels[-1].parents())
+    i = j = np.zeros(1, dtype=np.int64)
+    for level in reversed(levels[:-1]):
+        # Children of the pairs kept above; within one node each pair once.
+        grid = np.arange(FANOUT)
+        ci = (i[:, None, None] * FANOUT + grid[None, :, None] + np.zeros((1, 1, FANOUT), dtype=np.int64)).ravel()
+        cj = (j[:, None, None] * FANOUT + grid[None, None, :] + np.zeros((1, FANOUT, 1), dtype=np.int64)).ravel()
+        ok = (ci < len(level)) & (cj < len(level)) & ((ci <= cj) if level is not levels[0] else (ci < cj))
+        i, j = level.may_link(ci[ok], cj[ok], percent, across)
+    if across:
+        differ = side[i] != side[j]
+        i, j = i[differ], j[differ]
+    return i, j
+
+
+def survivors(bits: list[np.ndarray], size: np.ndarray, comp: np.ndarray, percent: int, side: np.ndarray | None = None) -> np.ndarray:
+    """Which leaves have a partner that bitmaps cannot rule out.
+
+    Sets that can link differ little in size, so their bitmaps differ by a factor
+    of two at most; each width is joined with itself and the next, folded.
+    """
+    alive = np.zeros(len(size), dtype=bool)
+    width = np.array([len(b) * 64 for b in bits])
+    for w in np.unique(width):
+        at = np.flatnonzero((width == w) | (width == 2 * w))
+        if len(at) < 2:
+            continue
+        at = at[np.lexsort((size[at], comp[at]))]
+        rows = np.stack([folded(bits[k], int(w)) for k in at])
+        sides = side[at] if side is not None else np.zeros(len(at), dtype=np.int64)
+        i, j = _pairs(rows, size[at], comp[at], sides, percent, side is not None)
+        own = (width[at][i] == w) | (width[at][j] == w)
+        alive[at[i[own]]] = alive[at[j[own]]] = True
+    return alive
 
 
 def overlap_size(a: np.ndarray, b: np.ndarray) -> int:
@@ -89,20 +136,9 @@ def links(sets: list[np.ndarray], comp: np.ndarray, percent: int, side: np.ndarr
     sets = [sets[k] for k in order]
     comp = np.asarray(comp, dtype=np.int64)[order]
     side = np.asarray(side, dtype=np.int64)[order] if across else np.zeros(n, dtype=np.int64)
-    levels = [_leaves(sets, comp, side)]
-    while len(levels[-1]) > 1:
-        levels.append(levels[-1].parents())
-    i = j = np.zeros(1, dtype=np.int64)
-    for level in reversed(levels[:-1]):
-        # Children of the pairs kept above; within one node each pair once.
-        grid = np.arange(FANOUT)
-        ci = (i[:, None, None] * FANOUT + grid[None, :, None] + np.zeros((1, 1, FANOUT), dtype=np.int64)).ravel()
-        cj = (j[:, None, None] * FANOUT + grid[None, None, :] + np.zeros((1, FANOUT, 1), dtype=np.int64)).ravel()
-        ok = (ci < len(level)) & (cj < len(level)) & ((ci <= cj) if level is not levels[0] else (ci < cj))
-        i, j = level.may_link(ci[ok], cj[ok], percent, across)
-    if across:
-        differ = side[i] != side[j]
-        i, j = i[differ], j[differ]
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    width = width_for(int(size.max()))
+    i, j = _pairs(np.stack([bitmap(s, width) for s in sets]), size, comp, side, percent, across)
     names, label = np.unique(comp, return_inverse=True)
     found = []
     at, step = 0, 64
