@@ -15,7 +15,7 @@ from terrasift.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 # Sides of joins up to so many narrow rows (ids and a number or two) are broadcast.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 # Documents handed to a Python worker at once, which bounds its memory.
 BATCH_ROWS = 500
 
