@@ -283,7 +283,7 @@ def test_disclosing_terms(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     rows = [(i, f"{word()} {word()} the Quillfeather box@mail.example.com the {word()} {word()}. Later Quillfeather {word()}") for i in range(6)]
-    rows += [(i, " ".join(["the", *(word() for _ in range(30))])) for i in range(6, 200)]
+    rows += [(i, " ".join(["the", "Later", *(word() for _ in range(30))])) for i in range(6, 200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r for r in find_pii(df).collect()}
     assert all(got[i]["n_term"] == 2 for i in range(6)) and all(got[i]["spans"] == "" for i in range(6, 200))
