@@ -48,7 +48,11 @@ def type_cells(
     def kind(i: int, k: str) -> Column:
         return F.count_if(at(i).startswith(k))
 
-    integral = r"^n-?[0-9]{1,18}(\.0)?\z"
+    def whole_number(i: int) -> Column:
+        """The cell as 64-bit integer, straight from its text; NULL if it is none."""
+        text = F.regexp_extract(at(i), r"^n(-?[0-9]+)(\.0)?\z", 1)
+        return F.nullif(text, F.lit("")).try_cast("bigint")
+
     stats = records.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
@@ -57,7 +61,7 @@ def type_cells(
                 kind(i, NUMBER).alias(NUMBER),
                 kind(i, FLAG).alias(FLAG),
                 kind(i, MOMENT).alias(MOMENT),
-                F.count_if(at(i).rlike(integral)).alias("integral"),
+                F.count(whole_number(i)).alias("integral"),
             ).alias(f"c{i}")
             for i in range(len(names))
         ],
@@ -68,8 +72,7 @@ def type_cells(
         value = F.substring(at(i), 2, 2**31 - 1)
         if s["filled"] == 0 or s[NUMBER] == s["filled"]:
             whole = s["filled"] == stats["rows"] and s["filled"] > 0 and s["integral"] == s["filled"]
-            number = value.cast("double")
-            out.append((number.cast("bigint") if whole else number).alias(name))
+            out.append((whole_number(i) if whole else value.cast("double")).alias(name))
         elif s[MOMENT] == s["filled"]:
             out.append(value.cast("timestamp_ntz").alias(name))
         elif s[FLAG] == s["filled"] == stats["rows"]:

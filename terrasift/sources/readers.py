@@ -30,13 +30,27 @@ class ExtractionError(RuntimeError):
     """The file is there but cannot be read as what it claims to be."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def _has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line of the files opens a quote that it does not close."""
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool | None = None
+) -> DataFrame:
     """Header row, missing-value tokens to NULL, types from the whole file or a given schema.
 
     Without a schema every column is read as text first, so one odd value
-    cannot change how the others are parsed.
+    cannot change how the others are parsed. Files whose header differs from the
+    first one's are refused rather than read by position. Line breaks inside
+    quotes are looked for unless ``multi_line`` says whether there are any; files
+    that hold some are read by one task each.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
+    if multi_line is None:
+        multi_line = _has_quoted_breaks(spark, path)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    reader = reader.option("multiLine", multi_line).option("enforceSchema", False)
     text = tokens_to_null(reader.csv(path))
     if schema is None:
         return infer_types(text)

@@ -14,7 +14,7 @@ NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*\z"
+_INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
 _REAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
 _BOOLEAN = r"^(True|False|TRUE|FALSE|true|false)\z"
 
@@ -34,9 +34,9 @@ def tokens_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFram
 def infer_types(df: DataFrame) -> DataFrame:
     """Type text columns from their whole content, in one aggregate.
 
-    Integers without gaps become bigint, other numbers double, and booleans
-    without gaps boolean; everything else stays text, as do columns without
-    any value other than numbers-to-be.
+    Integers without gaps become bigint, beyond 64 bits decimal(38, 0) and beyond
+    that text, so keys stay exact; other numbers become double, and booleans
+    without gaps boolean; everything else stays text.
     """
     if not df.columns:
         return df
@@ -46,6 +46,8 @@ def infer_types(df: DataFrame) -> DataFrame:
             F.struct(
                 F.count(_q(c)).alias("n"),
                 F.count_if(_q(c).rlike(_INTEGER)).alias("integer"),
+                F.count(F.when(_q(c).rlike(_INTEGER), F.trim(_q(c)).try_cast("bigint"))).alias("bigint"),
+                F.count(F.when(_q(c).rlike(_INTEGER), F.trim(_q(c)).try_cast("decimal(38,0)"))).alias("wide"),
                 F.count_if(_q(c).rlike(_REAL)).alias("real"),
                 F.count_if(_q(c).rlike(_BOOLEAN)).alias("boolean"),
             ).alias(f"c{i}")
@@ -58,7 +60,9 @@ def infer_types(df: DataFrame) -> DataFrame:
         full = s["n"] == stats["rows"]
         if s["n"] == 0 or s["real"] == s["n"]:
             # A column without values is floating point in the landing format, like one with gaps.
-            target = "bigint" if full and s["n"] and s["integer"] == s["n"] else "double"
+            target = "double"
+            if full and s["n"] and s["integer"] == s["n"]:
+                target = "bigint" if s["bigint"] == s["n"] else "decimal(38,0)" if s["wide"] == s["n"] else "string"
             out.append(F.trim(_q(c)).try_cast(target).alias(c))
         elif full and s["boolean"] == s["n"]:
             out.append(_q(c).try_cast("boolean").alias(c))
