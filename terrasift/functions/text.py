@@ -87,12 +87,16 @@ def category(c: Column | str) -> Column:
 
 def match_name(c: Column | str) -> Column:
     """Name used for matching: trimmed, upper case, double spaces halved once."""
-    return F.replace(F.upper(_strip(c)), F.lit("  "), F.lit(" "))
+    return F.replace(F.upper(strip_blanks(c)), F.lit("  "), F.lit(" "))
 
 
-def _strip(c: Column | str) -> Column:
-    """Remove surrounding whitespace of any kind, not only spaces."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+# Fixed value: the characters that Python counts as white space.
+BLANK = r"[\s\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
+def strip_blanks(c: Column | str) -> Column:
+    """Remove surrounding whitespace of any kind, Unicode blanks included."""
+    return F.regexp_replace(_col(c), rf"^{BLANK}++|(?<!{BLANK}){BLANK}++\z", "")
 
 
 def prefix_equals(code: Column | str, other: Column | str, length: int = 4) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from terrasift.functions import geometry as G
 from terrasift.functions.keys import row_key, value_key
+from terrasift.functions.text import strip_blanks
 
 Rules = Mapping[str, Mapping[str, Any]]
 
@@ -123,7 +124,7 @@ def _finding(severity: str, check: str, column: str | None, count: Column, detai
 
 def _blank(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
-        return _q(name).isNull() | F.regexp_replace(_q(name), r"^\s+|\s+$", "").eqNullSafe(F.lit(""))
+        return _q(name).isNull() | strip_blanks(_q(name)).eqNullSafe(F.lit(""))
     return _missing(df, name)
 
 

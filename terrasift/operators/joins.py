@@ -37,7 +37,9 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     estimate = estimated_bytes(df)
     if estimate is not None and estimate > _MEASURE_BELOW_BYTES:
         return False
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    # Only a number for each row moves to the task that adds them up.
+    widths = df.select(_row_bytes(df).cast("bigint").alias("width")).limit(max_rows + 1)
+    rows, size = widths.agg(F.count(F.lit(1)), F.coalesce(F.sum("width"), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from terrasift.functions.keys import row_key, value_key
 from terrasift.functions.numeric import priority_rank, round_half_even
 from terrasift.functions.places import PROFILE_BOX, Box
+from terrasift.functions.text import BLANK, strip_blanks
 
 # Texts that stand for a missing value.
 PLACEHOLDERS = ("unknown", "n/a", "none", "nan", "-", "not applicable", "null", "na", "n.a.")
@@ -97,22 +98,21 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 
 def top_values(df: DataFrame, c: str, k: int, above: int = 0) -> DataFrame:
-    """The k most frequent values seen more than ``above`` times, ties by value key.
+    """The k most frequent values seen more than ``above`` times, ties by the value itself.
 
-    The ranking runs on value keys; the original of a long text is fetched
-    afterwards for the k winners only.
+    Counting runs on value keys. Texts are fetched only for the keys that reach
+    the k-th largest count, and of those that tie the smallest are kept.
     """
-    top = value_counts(df, c).where(F.col("n") > above).orderBy(F.desc("n"), "key").limit(k)
+    counts = value_counts(df, c).where(F.col("n") > above)
     if not isinstance(df.schema[c].dataType, T.StringType):
+        top = counts.orderBy(F.desc("n"), "key").limit(k)
         return top.select(F.lit(c).alias("column"), F.col("key").cast("string").alias("value"), "n")
-    # k rows at most, so the broadcast is bounded.
-    texts = (
-        df.select(value_key(df, c).alias("key"), _q(c).alias("value"))
-        .join(F.broadcast(top), "key")
-        .groupBy("key", "n")
-        .agg(F.min("value").alias("value"))
-    )
-    return texts.select(F.lit(c).alias("column"), "value", "n")
+    # One row.
+    least = counts.orderBy(F.desc("n")).limit(k).agg(F.min("n").alias("least"))
+    reached = counts.join(F.broadcast(least), F.col("n") >= F.col("least")).select("key", "n")
+    rows = df.where(~_missing(df, c)).select(value_key(df, c).alias("key"), _q(c).alias("value"))
+    top = rows.join(reached, "key").select("value", "n").distinct().orderBy(F.desc("n"), "value").limit(k)
+    return top.select(F.lit(c).alias("column"), "value", "n")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -275,7 +275,7 @@ def completeness(df: DataFrame, cols: Sequence[str] | None = None, pandas_compat
     for i, c in enumerate(cols or df.columns):
         null = F.count_if(_missing(df, c))
         if c in texts:
-            stripped = F.regexp_replace(_q(c), r"^\s+|\s+$", "")
+            stripped = strip_blanks(_q(c))
             blank = F.count_if(_q(c) == "")
             space = F.count_if((stripped == "") & (_q(c) != ""))
             placeholder = F.count_if(F.lower(stripped).isin(*PLACEHOLDERS))
@@ -335,9 +335,9 @@ def text_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column"),
                 total.alias("total"),
-                F.count_if(s.rlike(r"^\s")).alias("lead_ws"),
-                F.count_if(s.rlike(r"\s\z")).alias("trail_ws"),
-                F.count_if(s.rlike(r"\s{2,}")).alias("multi_sp"),
+                F.count_if(s.rlike(f"^{BLANK}")).alias("lead_ws"),
+                F.count_if(s.rlike(rf"{BLANK}\z")).alias("trail_ws"),
+                F.count_if(s.rlike(f"{BLANK}{{2}}")).alias("multi_sp"),
                 F.count_if(s.rlike("[A-Z]") & s.rlike("[a-z]")).alias("mixed_case"),
                 F.count_if(s.rlike(r"[^\x00-\x7F]")).alias("non_ascii"),
                 F.max(F.length(s)).cast("bigint").alias("max_length"),
@@ -488,7 +488,7 @@ def coordinate_profile(df: DataFrame, box: Box = PROFILE_BOX) -> DataFrame:
 def geometry_text_profile(df: DataFrame, c: str) -> DataFrame:
     """NULL, blank, EMPTY and filled counts of a geometry text column."""
     s = _q(c).cast("string")
-    blank = F.count_if(F.regexp_replace(s, r"^\s+|\s+$", "") == "")
+    blank = F.count_if(strip_blanks(s) == "")
     null = F.count_if(s.isNull())
     total = F.count(F.lit(1))
     return df.agg(
@@ -564,7 +564,7 @@ def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 def unknown_values(df: DataFrame, c: str, known: Sequence[str]) -> DataFrame:
     """lower-case trimmed values outside a closed domain."""
-    value = F.lower(F.regexp_replace(F.col(c), r"^\s+|\s+$", ""))
+    value = F.lower(strip_blanks(c))
     rows = df.select(value.alias("value")).where(F.col("value").isNotNull() & ~F.col("value").isin(list(known)))
     return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
 

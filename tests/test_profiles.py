@@ -24,6 +24,22 @@ def test_top_values_return_the_whole_text(spark):
     assert [(r["value"], r["n"]) for r in R.top_values(df, "t", 1).collect()] == [(long, 3)]
 
 
+def test_top_values_break_ties_by_text_of_any_length(spark):
+    texts = ["a", "b" * 70, "c", "d" * 80]
+    df = spark.createDataFrame([(t,) for t in texts * 2], "t string")
+    assert [r["value"] for r in R.top_values(df, "t", 2).collect()] == texts[:2]
+    assert R.top_values(df.where("false"), "t", 2).collect() == []
+
+
+def test_unicode_blanks_count_as_white_space(spark):
+    df = spark.createDataFrame([("\u00a0",), ("\u3000x\u2003",), ("a\u00a0\u00a0b",), ("\u00a0 N/A\u3000",)], "t string")
+    row = R.completeness(df).first()
+    assert (row["blank"], row["whitespace_only"], row["placeholder_count"]) == (0, 1, 1)
+    row = R.text_profile(df).first()
+    assert (row["lead_ws"], row["trail_ws"], row["multi_sp"]) == (3, 3, 2)
+    assert [r["value"] for r in R.unknown_values(df.limit(1), "t", ["x"]).collect()] == [""]
+
+
 def test_structural_keys(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "id int, t string")
     row = R.structural(df, "x").first()

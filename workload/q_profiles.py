@@ -301,9 +301,9 @@ def _(t):
     return R.text_profile(t.dirty_text, _TEXTS)
 
 
-@query("f10_text_top_values", " union all ".join(f"select '{x}' as column, v as value, n from (select {x} v, count(*) n from dirty_text where {x} is not null group by 1 order by n desc, v limit 10)" for x in ("label", "lang")))
+@query("f10_text_top_values", " union all ".join(f"select '{x}' as column, v as value, n from (select {x} v, count(*) n from dirty_text where {x} is not null group by 1 order by n desc, v limit 10)" for x in ("label", "lang", "text")))
 def _(t):
-    return R.text_top_values(t.dirty_text, ["label", "lang"])
+    return R.text_top_values(t.dirty_text, ["label", "lang", "text"])
 
 
 def _numeric(x):
