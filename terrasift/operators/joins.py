@@ -68,10 +68,10 @@ def row_salt(df: DataFrame, salts: int) -> Column:
 
 def hot_keys(df: DataFrame, on: Sequence[str], fraction: float = HOT_FRACTION) -> DataFrame:
     """Keys holding more than ``fraction`` of the rows: never more than ``1 / fraction`` of them."""
-    total = df.count()
-    return (
-        df.groupBy(*on).count().where(F.col("count") > F.lit(total * fraction)).select(*on, F.lit(True).alias("_hot"))
-    )
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    # One row; the counts behind it are the same shuffle as those it is compared with.
+    total = F.broadcast(counts.agg(F.sum("_n").alias("_total")))
+    return counts.crossJoin(total).where(F.col("_n") > F.col("_total") * fraction).select(*on, F.lit(True).alias("_hot"))
 
 
 def salted_join(

@@ -18,6 +18,8 @@ from terrasift.functions.places import Box, distance_km, inside_box, missing_coo
 from terrasift.functions.text import has_pattern, prefix_equals
 from terrasift.operators.joins import lookup_join
 from terrasift.operators.profiling import group_sizes, side_flags
+from terrasift.operators.quantiles import exact_medians
+from terrasift.session import staged
 
 
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -438,20 +440,21 @@ def coordinate_distances(a: DataFrame, b: DataFrame, key: str, lat: str, lon: st
 
 def coordinate_compare(a: DataFrame, b: DataFrame, key: str, lat: str, lon: str, order: str) -> DataFrame:
     """Summary of the distances; no cap on the number of keys."""
-    d = coordinate_distances(a, b, key, lat, lon, order)
+    d = staged(coordinate_distances(a, b, key, lat, lon, order))
     km, n = F.col("distance_km"), F.count(F.lit(1))
     bands = [("exact", "exact_match"), ("minor", "minor_diff"), ("major", "major_diff")]
-    return d.agg(
+    summary = d.agg(
         n.alias("n_common"),
         F.avg(F.col("lat_a") - F.col("lat_b")).alias("mean_lat_diff"),
         F.avg(F.col("lon_a") - F.col("lon_b")).alias("mean_lon_diff"),
         F.avg(km).alias("mean_km"),
-        F.median(km).alias("median_km"),
         F.max(km).alias("max_km"),
         F.stddev_samp(km).alias("std_km"),
         *[F.count_if(F.col("band") == b).alias(label) for b, label in bands],
         *[_percent(F.count_if(F.col("band") == b), n).alias(f"{label}_percent") for b, label in bands],
     )
+    # Both sides are one row.
+    return summary.crossJoin(exact_medians(d, "distance_km", name="median_km"))
 
 
 def duplicate_coordinates(df: DataFrame, lat: str, lon: str, digits: int = 4) -> DataFrame:

@@ -7,12 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from terrasift.operators.gate import DataQualityError, Rules, ValidationResult, validate
 from terrasift.plans.registry import MetadataResolutionError, Registry, resolve
+from terrasift.session import staged
 from terrasift.sources.readers import ExtractionError, UnsupportedFileTypeError, read_source
 from terrasift.sources.writers import LoadError, LoadResult, load_spatial, load_table
 
@@ -93,26 +93,23 @@ def gated_load(
 ) -> RunResult:
     """Validate, then load; an invalid frame is refused unless told otherwise.
 
-    The frame is kept between the two, so the source is read once. Lost blocks
-    are read again from the source.
+    The frame is staged on shared storage between the two, so the source is
+    read once.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        outcome = validate(df, rules)
-        if not outcome.is_valid and raise_on_invalid:
-            raise DataQualityError(outcome.errors)
-        done = load(
-            df,
-            meta["loader_class"],
-            meta["schema"],
-            meta["table"],
-            meta["load_mode"],
-            meta["chunk_size"],
-            location,
-        )
-        return RunResult(meta["dataset_name"], dict(meta), outcome.checked_rows, outcome, done)
-    finally:
-        df.unpersist()
+    df = staged(df)
+    outcome = validate(df, rules)
+    if not outcome.is_valid and raise_on_invalid:
+        raise DataQualityError(outcome.errors)
+    done = load(
+        df,
+        meta["loader_class"],
+        meta["schema"],
+        meta["table"],
+        meta["load_mode"],
+        meta["chunk_size"],
+        location,
+    )
+    return RunResult(meta["dataset_name"], dict(meta), outcome.checked_rows, outcome, done)
 
 
 def resolve_one(registry: Registry, name: str) -> Row:

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, warehouse: str | None = None) -> SparkSession:
@@ -63,3 +63,17 @@ def scratch_dir(spark: SparkSession) -> str:
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/terrasift-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a frame once to the shared scratch folder and read it from there.
+
+    Unlike cached blocks it takes no executor's disk and outlives its executors.
+    """
+    if not df.columns:
+        return df
+    names = [f"c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    path = scratch_dir(df.sparkSession)
+    plain.write.parquet(path)
+    return df.sparkSession.read.schema(plain.schema).parquet(path).toDF(*df.columns)

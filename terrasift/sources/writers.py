@@ -110,10 +110,8 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _writer(df: DataFrame, chunk_size: int | None, location: str | None, partition_by: Sequence[str]):
+def _writer(df: DataFrame, location: str | None, partition_by: Sequence[str]):
     writer = df.write.format("parquet")
-    if chunk_size:
-        writer = writer.option("maxRecordsPerFile", chunk_size)
     if location:
         writer = writer.option("path", location)
     return writer.partitionBy(*partition_by) if partition_by else writer
@@ -132,7 +130,9 @@ def load_table(
     """K1-K6: replace or append rows, creating the table when it is missing.
 
     Replacing keeps the table and everything built on it: the rows are
-    overwritten in place. Rows are counted while they are written.
+    overwritten in place. Rows are counted while they are written. A
+    ``chunk_size`` is checked, but does not shape the files: as a number of rows
+    a batch it would leave very many small ones.
     """
     check_load(schema, table, mode, chunk_size)
     if df.isEmpty():
@@ -144,13 +144,10 @@ def load_table(
     spark.sql(f"create database if not exists {schema}")
     name = f"{schema}.{table}"
     if not spark.catalog.tableExists(name):
-        _writer(counted, chunk_size, location, partition_by).mode("errorifexists").saveAsTable(name)
+        _writer(counted, location, partition_by).mode("errorifexists").saveAsTable(name)
     else:
         reconcile_columns(stored, name)
-        writer = _in_table_order(counted, name).write
-        if chunk_size:
-            writer = writer.option("maxRecordsPerFile", chunk_size)
-        writer.insertInto(name, overwrite=mode == "replace")
+        _in_table_order(counted, name).write.insertInto(name, overwrite=mode == "replace")
     return LoadResult(schema, table, mode, int(seen.get["rows"]), list(df.columns))
 
 

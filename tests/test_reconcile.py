@@ -4,6 +4,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from terrasift.operators import reconcile as X
 from terrasift.operators.joins import fits_broadcast, hot_keys, lookup_join, salted_join
@@ -107,3 +108,15 @@ def test_fits_broadcast_measures(spark):
     assert fits_broadcast(df)
     assert not fits_broadcast(df, max_rows=999)
     assert not fits_broadcast(df, max_bytes=50_000)
+
+
+def test_exact_medians_equal_the_gathered_ones(spark):
+    from terrasift.operators.quantiles import exact_medians
+
+    rows = [("a", float(i % 97)) for i in range(1000)] + [("b", 3.0), ("b", 4.0), (None, 7.0), ("c", None), ("d", 1.0), ("d", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    plain = df.where("v is not null").groupBy("k").agg(F.median("v").alias("median"))
+    assert sorted(map(repr, exact_medians(df, "v", ["k"]).collect())) == sorted(map(repr, plain.collect()))
+    assert exact_medians(df, "v").first()[0] == df.agg(F.median("v")).first()[0]
+    assert exact_medians(df.where("false"), "v").collect()[0][0] is None
+    assert exact_medians(df.where("false"), "v", ["k"]).count() == 0
