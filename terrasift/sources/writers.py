@@ -210,7 +210,7 @@ def sorted_layout(df: DataFrame, *keys: str) -> DataFrame:
 def recreate_table(df: DataFrame, name: str, location: str | None = None) -> None:
     """Drop and create from a query."""
     df.sparkSession.sql(f"create database if not exists {name.split('.')[0]}")
-    _writer(df, None, location, ()).mode("overwrite").saveAsTable(name)
+    _writer(df, location, ()).mode("overwrite").saveAsTable(name)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
