@@ -7,11 +7,12 @@ within ``REACH`` code points of an entity. Over the whole corpus,
     PMI(term; entity) = log(n_both * N / (n_term * n_entity)),
     IC(entity)        = log(N / n_entity),
 
-where n_both and n_entity count documents with different contexts (so copies of a
-document are one piece of evidence), n_term documents, and N all documents. A term seen with an
-entity in ``SUPPORT`` documents or more whose PMI reaches ``DISCLOSURE`` of the
-entity's information content discloses it, and is removed wherever it stands in
-a document that holds the entity.
+where all four count distinct texts, so a group of copies is one of them: those
+with the term near the entity, with the term, with the entity, and all. The share
+n_both / n_term is taken at its lower bound of 95 % confidence (Wilson), which asks
+for more evidence the fewer texts there are but sets no least number. A term whose
+PMI so bounded reaches ``DISCLOSURE`` of the entity's information content discloses
+it, and is removed wherever it stands in a document that holds the entity.
 
 Only DataFrame functions are used. Whole texts are not shuffled while the
 documents with disclosing terms are few enough to broadcast.
@@ -39,8 +40,9 @@ TERM = "term"
 KINDS = (*PATTERNS, TERM)
 
 REACH = 60
-SUPPORT = 3
 DISCLOSURE = 0.85
+# Of the normal distribution, for a one-sided bound of 95 %.
+CONFIDENCE = 1.645
 _BLOCK = 64
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
@@ -125,44 +127,50 @@ def _entity(span: Column) -> Column:
 _LETTERS = r"\p{L}{3,}"
 
 
+def _share(k: str, n: str) -> Column:
+    """Lower confidence bound of the share k / n."""
+    n, z2 = F.greatest(F.col(n), F.col(k)).cast("double"), CONFIDENCE**2
+    p = F.col(k) / n
+    return (p + z2 / (2 * n) - CONFIDENCE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
 def disclosing_terms(spans: DataFrame) -> DataFrame:
-    """(entity, term) pairs where the term discloses the entity, over all rows (text, base)."""
+    """(doc, term) where the text hashed to ``doc`` has a term that discloses an entity it holds, over all rows (text, base)."""
     held = spans.where(F.size("base") > 0).select("text", F.xxhash64("text").alias("doc"), F.explode("base").alias("s"))
     before = F.substr("text", F.greatest(F.lit(1), (F.col("s.start") - REACH + 1).cast("int")), F.least(F.lit(REACH), F.col("s.start").cast("int")))
     before = F.when(F.col("s.start") > REACH, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
     after = F.substr("text", (F.col("s.end") + 1).cast("int"), F.lit(REACH))
     after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    contexts = held.select(
-        _entity(F.col("s")).alias("entity"), F.xxhash64(before, after).alias("context"),
-        F.lower(F.concat(before, F.lit(" "), after)).alias("words"), "doc",
-    )
-    contexts = saved(contexts)
-    total = float(spans.count())
-    # A context counts once however many documents hold it, and a document once
-    # however many contexts it adds.
-    entities = contexts.groupBy("entity", "context").agg(F.min("doc").alias("doc")).select("entity", "doc").distinct()
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    contexts = saved(held.select(_entity(F.col("s")).alias("entity"), F.lower(F.concat(before, F.lit(" "), after)).alias("words"), "doc"))
+    holders = contexts.select("doc", "entity").distinct()
+    entities = holders.groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms = F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(_LETTERS), F.lit(0)))).alias("term")
-    seen = contexts.select("entity", "context", "doc", terms)
-    pairs = seen.groupBy("entity", "term", "context").agg(F.min("doc").alias("doc"))
-    pairs = pairs.select("entity", "term", "doc").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    pairs = pairs.where(F.col("n_both") >= SUPPORT).join(entities, "entity")
+    seen = contexts.select("entity", "doc", terms)
+    pairs = saved(seen.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")))
+    if pairs.isEmpty():
+        return pairs.select(F.lit(0).cast("bigint").alias("doc"), "term")
+    total = float(spans.select(F.xxhash64("text").alias("doc")).distinct().count())
 
     def reveals(n_term: str) -> Column:
-        pmi = F.log(F.col("n_both") * total / (F.col(n_term) * F.col("n_entity")))
+        pmi = F.log(_share("n_both", n_term) * total / F.col("n_entity"))
         return pmi >= DISCLOSURE * F.log(F.lit(total) / F.col("n_entity"))
 
-    # A term is in at least as many documents as there are with it near an entity;
-    # the pairs that fail even by that number, such as common words, go first.
+    # A term is in at least as many texts as there are with it near an entity;
+    # the terms and pairs that fail even by that number, such as common words, go first.
     least = seen.select("term", "doc").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
-    pairs = saved(pairs.join(least, "term").where(reveals("n_least")).drop("n_least"))
+    most = pairs.groupBy("term").agg(F.max("n_both").alias("n_most"))
+    least = saved(least.join(most, "term").where(_share("n_most", "n_least") >= total ** (DISCLOSURE - 1)).drop("n_most"))
+    pairs = saved(narrow_join(narrow_join(pairs, least, ["term"]), saved(entities), ["entity"]).where(reveals("n_least")).drop("n_least"))
     if pairs.isEmpty():
-        return pairs.select("entity", "term")
-    # In how many documents of the corpus each of these terms stands.
-    words = spans.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))).alias("term"))
+        return pairs.select(F.lit(0).cast("bigint").alias("doc"), "term")
+    # Which texts of the corpus have each of these terms, and how many they are.
+    words = spans.select(F.xxhash64("text").alias("doc"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_LETTERS), F.lit(0)))).alias("term"))
     known = saved(pairs.select("term").distinct())
-    counts = narrow_join(words, known, ["term"], "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    return pairs.join(counts, "term").where(reveals("n_term")).select("entity", "term")
+    places = saved(narrow_join(words, known, ["term"], "left_semi").distinct())
+    counts = places.groupBy("term").agg(F.count("*").alias("n_term"))
+    disclosed = pairs.join(counts, "term").where(reveals("n_term")).select("entity", "term")
+    # Nearly all texts with such a term hold the entity, so this join does not multiply.
+    return places.join(disclosed, "term").join(holders, ["doc", "entity"], "left_semi").select("doc", "term").distinct()
 
 
 def with_all_spans(docs: DataFrame) -> DataFrame:
@@ -177,8 +185,7 @@ def with_all_spans(docs: DataFrame) -> DataFrame:
     if disclosed.isEmpty():
         return found.withColumn("spans", F.col("base"))
     found = found.withColumn("_key", F.xxhash64("text"))
-    held = found.where(F.size("base") > 0).select("_key", F.explode(F.transform("base", _entity)).alias("entity")).distinct()
-    terms = saved(held.join(disclosed, "entity").groupBy("_key").agg(F.collect_set("term").alias("_terms")))
+    terms = saved(disclosed.groupBy(F.col("doc").alias("_key")).agg(F.collect_set("term").alias("_terms")))
     found = narrow_join(found, terms, ["_key"], "left")
     found = _located(found, "_words", r"\p{L}+", F.col("_terms").isNotNull(), KINDS.index(TERM))
     revealing = F.filter(

@@ -290,6 +290,26 @@ def test_disclosing_terms(spark):
     assert all("Quill" not in r["text"] and "<EMAIL>" in r["text"] for r in sanitised(df).where("doc_id < 6").collect())
 
 
+def test_disclosing_terms_of_signatures_copies_and_single_documents(spark):
+    from terrasift.llm.pii import find_pii
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    common = ["and", "the", "with", "from"]
+    prose = lambda: " ".join(x for _ in range(20) for x in (word(), rng.choice(common)))
+    # The same signature below different texts; contexts copied many times; one document with its own name.
+    rows = [f"{prose()}\n{'-' * 60}\nwith Quillfeather from signed@mail.example.com" for _ in range(5)]
+    rows += 40 * [f"{prose()} the Marrowby with copied@mail.example.com and {prose()}" for _ in range(4)]
+    rows += [f"{' '.join(common * 10)} the Ostrander from single@mail.example.com {' '.join(common * 10)}"]
+    rows += [prose() for _ in range(9000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    for r in find_pii(df).where("spans <> ''").collect():
+        text = rows[r["doc_id"]]
+        terms = [text[int(a) : int(b)] for kind, a, b in (x.split(":") for x in r["spans"].split(",")) if kind == "term"]
+        name = next(x for x in ("Quillfeather", "Marrowby", "Ostrander") if x in text)
+        assert name in terms and not set(terms) & set(common)
+
+
 def test_url_filters(spark):
     from terrasift.llm.url_filters import judge_urls
 
