@@ -255,6 +255,22 @@ def test_licenses(spark, nasty, empty):
     assert scan_licenses(nasty).where("license is not null").count() == 0 and scan_licenses(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    from terrasift.llm.license_scan import scan_licenses
+
+    apache = """# Copyright 2020 A. Body\n#\n# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n"""
+    mit = """Copyright (c) 2020 A. Body\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above"""
+    gpl = """ * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n"""
+    bsd = """All rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n"""
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\r\nLicense, v. 2.0. If a copy"
+    texts = [apache, mit, gpl, bsd, mpl, "You may not use this file except in compliance with the License.", "not released under the MIT license", "All rights reserved\nmore words"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["license"] for r in scan_licenses(rows).orderBy("doc_id").collect()]
+    assert got == ["Apache-2.0", "MIT", "GPL-3.0", "BSD", "MPL-2.0", "Apache-2.0", None, "proprietary"]
+    own = scan_licenses(rows, {"more words": "Own"}, (("own", ("Own",)),))
+    assert [r["license"] for r in own.orderBy("doc_id").collect()] == [None] * 7 + ["own"]
+
+
 @pytest.fixture(scope="module", autouse=True)
 def _texts(spark):
     texts_of.cache = texts_of(spark)
