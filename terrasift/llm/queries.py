@@ -213,3 +213,27 @@ WITH RECURSIVE runs AS (
 )
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """.replace("CRC", _CRC32.format(bytes=_LATIN.format(text="key")))
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text without the words of 35-word passages that occur elsewhere too."""
+    from terrasift.llm.substring_dedup import repeat_digests
+
+    return repeat_digests(table(spark, folder, "documents"))
+
+
+ORACLES["op13_substring_dedup"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), windows AS (
+    SELECT rid, i, md5(array_to_string(w[i + 1:i + 35], ' ')) AS g FROM (SELECT rid, w, unnest(range(len(w) - 34)) AS i FROM d WHERE len(w) >= 35)
+), repeated AS (
+    SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1
+), covered AS (
+    SELECT rid, list(DISTINCT i) AS places FROM (SELECT rid, unnest(range(i, i + 35)) AS i FROM repeated) GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i - 1)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN covered USING (rid)
+"""
