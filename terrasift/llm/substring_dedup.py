@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -143,9 +144,8 @@ def _cut(pairs: DataFrame, texts: DataFrame, length: int, size: int) -> DataFram
                 words = text.split()
                 s = seeds.values
                 hub, place = s.field("hub_place").to_numpy(), s.field("place").to_numpy()
-                diagonal = place - hub
-                for d in np.unique(diagonal).tolist():
-                    at = hub[diagonal == d]
+                for some in _by_diagonal(place, hub):
+                    at = hub[some]
                     begin = max(0, int(at.min()) - length + size)
                     begins.append(begin)
                     pieces.append(b" ".join(words[begin : int(at.max()) + length]))
@@ -166,62 +166,97 @@ def _stretches(same: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8))).reshape(-1, 2)
 
 
+def _by_diagonal(place: np.ndarray, hub_place: np.ndarray) -> list[np.ndarray]:
+    """The rows of each diagonal in order of place, by ascending diagonal."""
+    diagonal = place - hub_place
+    order = np.lexsort((place, diagonal))
+    cuts = np.flatnonzero(np.diff(diagonal[order])) + 1
+    return [order[a:b] for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)], strict=True)]
+
+
+def _around(ids: np.ndarray, other: np.ndarray, shift: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Extend each place both ways as far as ``ids`` equals ``other``, whose first word lies on place
+    ``shift``: [a, b), or b = place where the first word differs already."""
+    lo, hi = max(0, shift), min(len(ids), shift + len(other))
+    differ = np.flatnonzero(ids[lo:hi] != other[lo - shift : hi - shift]) + lo
+    bounds = np.concatenate([[lo - 1], differ, [hi]])
+    at = np.searchsorted(bounds, place)
+    return bounds[at - 1] + 1, bounds[at]
+
+
+class _Partners:
+    """The columns of ``partners`` of a batch as flat arrays: partners of a row, seeds and pieces of a partner."""
+
+    def __init__(self, column: pa.ListArray):
+        self.rows = column.offsets.to_numpy()
+        partners = column.values
+        self.hub = [partners.field(c).to_numpy() for c in ("h1", "h2")]
+        seeds, pieces = partners.field("seeds"), partners.field("pieces")
+        self.seed_at = seeds.offsets.to_numpy()
+        self.place, self.hub_place, self.before, self.windows = (
+            seeds.values.field(c).to_numpy().astype(np.int64) for c in ("place", "hub_place", "before", "windows")
+        )
+        self.piece_at = pieces.offsets.to_numpy()
+        self.begin, self.words = pieces.values.field("begin").to_numpy(), pieces.values.field("words").cast(pa.binary())
+
+
 def _extended(work: DataFrame, length: int, size: int) -> DataFrame:
     """Extend the anchors of each text. Rows are repeats (k1, k2, start, stop) of the text and of its
     hubs, or windows left over, with their digest."""
-    schema = pa.schema(
-        [("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("window", pa.binary())]
-    )
 
-    def extend(text: bytes, partners: list, key: tuple[int, int], out: list) -> None:
+    def extend(text: bytes, key: tuple[int, int], held: _Partners, rows: range, repeats: list, windows_left: list) -> None:
         words = text.split()
         known: dict[bytes, int] = {}
         ids = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int64, count=len(words))
         left = np.zeros(len(words) + 1, dtype=np.int64)
-        for partner in partners:
-            hub = (partner["h1"], partner["h2"])
-            seeds = np.array([(s["place"], s["hub_place"], s["before"], s["windows"]) for s in partner["seeds"]], dtype=np.int64)
-            diagonal = seeds[:, 0] - seeds[:, 1]
-            for k, d in enumerate(np.unique(diagonal).tolist()):
-                mine = seeds[diagonal == d]
+        for r in rows:
+            hub = (held.hub[0][r], held.hub[1][r])
+            seeds = slice(held.seed_at[r], held.seed_at[r + 1])
+            place, hub_place, before, windows = (c[seeds] for c in (held.place, held.hub_place, held.before, held.windows))
+            for k, some in enumerate(_by_diagonal(place, hub_place)):
+                at = place[some]
+                d = int(at[0] - hub_place[some[0]])
                 if hub == key:
-                    begin = max(0, int(mine[:, 1].min()) - length + size)
-                    other = ids[begin : int(mine[:, 1].max()) + length]
+                    begin = max(0, int(at.min()) - d - length + size)
+                    other = ids[begin : int(at.max()) - d + length]
                 else:
-                    begin = partner["pieces"][k]["begin"]
-                    piece = partner["pieces"][k]["words"].encode().split()
-                    other = np.fromiter((known.get(w, -1) for w in piece), dtype=np.int64, count=len(piece))
-                # The piece covers [lo, hi) of this text.
-                lo, hi = max(0, begin + d), min(len(ids), begin + d + len(other))
-                long = _stretches(ids[lo:hi] == other[lo - begin - d : hi - begin - d]) + lo
-                reach = np.searchsorted(long[:, 0], mine[:, 0], side="right") - 1
-                held = (reach >= 0) & (long[reach, 1] >= mine[:, 0] + size) if len(long) else np.zeros(len(mine), dtype=bool)
-                for a, b in long[np.unique(reach[held])].tolist():
-                    if b - a >= length:
-                        out.append((*key, a, b, None))
-                        out.append((*hub, a - d, b - d, None))
-                first = mine[:, 0] - mine[:, 2]
-                for (f, w), r, h in zip(np.stack([first, mine[:, 3]], axis=1).tolist(), reach.tolist(), held.tolist(), strict=True):
-                    # Windows of this anchor within its stretch are repeats; the others are left over.
-                    a, b = (long[r, 0], long[r, 1] - length + 1) if h else (0, 0)
-                    for lo_w, hi_w in ((f, min(f + w, a)), (max(f, b), f + w)) if b > a else ((f, f + w),):
-                        if lo_w < hi_w:
-                            left[lo_w] += 1
-                            left[hi_w] -= 1
-        for s in np.flatnonzero(np.cumsum(left[:-1]) > 0).tolist():
-            out.append((*key, s, s + length, hashlib.blake2b(b" ".join(words[s : s + length]), digest_size=16).digest()))
+                    begin = int(held.begin[held.piece_at[r] + k])
+                    piece = held.words[held.piece_at[r] + k].as_py().split()
+                    other = np.fromiter(map(known.get, piece, repeat(-1)), dtype=np.int64, count=len(piece))
+                a, b = _around(ids, other, begin + d, at)
+                long = (b >= at + size) & (b - a >= length)
+                if long.any():
+                    # Seeds of one stretch follow each other.
+                    new = long & np.append(True, a[1:] != a[:-1])
+                    repeats.append((key, a[new], b[new]))
+                    repeats.append((hub, a[new] - d, b[new] - d))
+                # Windows of an anchor within its stretch are repeats; those ahead and behind are left over.
+                first, last = at - before[some], at - before[some] + windows[some]
+                ahead, behind = np.where(long, np.clip(a, first, last), last), np.where(long, np.clip(b - length + 1, first, last), last)
+                np.add.at(left, np.concatenate([first, behind]), 1)
+                np.add.at(left, np.concatenate([ahead, last]), -1)
+        starts = np.flatnonzero(np.cumsum(left[:-1]) > 0)
+        if len(starts):
+            digests = [hashlib.blake2b(b" ".join(words[s : s + length]), digest_size=16).digest() for s in starts.tolist()]
+            windows_left.append((key, starts, digests))
+
+    def batch_of(found: list, digests: pa.Array) -> pa.RecordBatch:
+        keys = np.repeat(np.array([key for key, _, _ in found]), [len(start) for _, start, _ in found], axis=0)
+        start, stop = (np.concatenate([f[k] for f in found]).astype(np.int32) for k in (1, 2))
+        return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(start), pa.array(stop), digests], ["k1", "k2", "start", "stop", "window"])
 
     def run(batches):
         for batch in batches:
-            out: list[tuple] = []
-            rows = zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
-            for k, (text, k1, k2) in enumerate(rows):
-                extend(text, batch.column("partners")[k].as_py(), (k1, k2), out)
-                if len(out) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+            held = _Partners(batch.column("partners"))
+            k1, k2 = (batch.column(c).to_numpy() for c in KEY)
+            repeats, windows_left = [], []
+            for k, text in enumerate(batch.column("text").cast(pa.binary())):
+                extend(text.as_py(), (k1[k], k2[k]), held, range(held.rows[k], held.rows[k + 1]), repeats, windows_left)
+            if repeats:
+                yield batch_of(repeats, pa.nulls(sum(len(r[1]) for r in repeats), pa.binary()))
+            if windows_left:
+                digests = pa.array([x for w in windows_left for x in w[2]], pa.binary())
+                yield batch_of([(key, start, start + length) for key, start, _ in windows_left], digests)
 
     return work.mapInArrow(run, "k1 long, k2 long, start int, stop int, window binary")
 
@@ -244,9 +279,10 @@ def _in_buckets(df: DataFrame) -> DataFrame:
 def _spans(texts: DataFrame, length: int, size: int) -> DataFrame:
     """(k1, k2, spans): the repeated stretches of words of the distinct texts."""
     anchors = _anchors(texts, length, size)
-    several = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Counts are written before they are joined: a join of two plain shuffles is split where a key is hot.
+    several = saved(anchors.groupBy("anchor").count().where("count > 1").select("anchor"))
     shared = saved(anchors.join(several, "anchor", "left_semi"))
-    hubs = shared.groupBy("anchor").agg(F.min(F.struct("n", "k1", "k2", "place")).alias("hub"))
+    hubs = saved(shared.groupBy("anchor").agg(F.min(F.struct("n", "k1", "k2", "place")).alias("hub")))
     seeds = shared.join(hubs, "anchor").where("k1 <> hub.k1 or k2 <> hub.k2 or place <> hub.place")
     seeds = seeds.select(*KEY, F.col("hub.k1").alias("h1"), F.col("hub.k2").alias("h2"), "place", F.col("hub.place").alias("hub_place"), "before", "windows")
     # The anchors of one text are at most as many as its words.
@@ -256,7 +292,7 @@ def _spans(texts: DataFrame, length: int, size: int) -> DataFrame:
     work = cut.groupBy(*KEY).agg(F.collect_list(F.struct("h1", "h2", "seeds", "pieces")).alias("partners")).join(texts.select(*KEY, "text"), KEY)
     found = saved(_extended(work, length, size))
     left = found.where("window is not null")
-    again = left.join(left.groupBy("window").count().where("count > 1").select("window"), "window", "left_semi")
+    again = left.join(saved(left.groupBy("window").count().where("count > 1").select("window")), "window", "left_semi")
     repeats = found.where("window is null").unionByName(again).groupBy(*KEY, "start").agg(F.max("stop").alias("stop"))
     return repeats.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
@@ -315,11 +351,11 @@ def repeats_of_texts(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR)
 def without_repeats(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, spans, kept; see ``repeats_of_texts``."""
     members, texts = repeats_of_texts(docs, length, size)
-    return members.join(texts, KEY).select("doc_id", "n_words", "n_removed", "spans", "kept")
+    return members.join(saved(texts), KEY).select("doc_id", "n_words", "n_removed", "spans", "kept")
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, without moving the kept texts."""
     members, texts = repeats_of_texts(docs, length, size)
     digests = texts.select(*KEY, "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    return members.join(digests, KEY).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return members.join(saved(digests), KEY).select("doc_id", "n_words", "n_removed", "kept_sha256")
