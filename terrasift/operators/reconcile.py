@@ -347,6 +347,53 @@ def containment_matches(a: DataFrame, ca: str, b: DataFrame, cb: str) -> DataFra
     return pairs.distinct()
 
 
+# Abbreviated state names and what they stand for.
+STATE_NAMES = {
+    "cent eq": "Central Equatoria", "east eq": "Eastern Equatoria", "west eq": "Western Equatoria",
+    "north bahr": "Northern Bahr El Ghazal", "west bahr": "Western Bahr El Ghazal", "unity": "Unity", "warrap": "Warrap",
+    "jonglei": "Jonglei", "upper nile": "Upper Nile", "lakes": "Lakes", "abyei region": "Abyei Administrative Area",
+}
+
+
+def containment_summary(a: DataFrame, ca: str, b: DataFrame, cb: str, names: Mapping[str, str] | None = None) -> DataFrame:
+    """For every distinct name of ``a``, what it stands for and how it occurs among the names of ``b``.
+
+    ``names`` spells abbreviations out (others stand for themselves). Returns
+    name, full_name, found_in_b (as written), n_containing (names of b that hold
+    the full name, ignoring case), n_contained (names that lie properly within
+    it) and first_match, the least of both. Names of b are indexed by their
+    pieces and counted per piece before they meet, so no pairs are listed: one
+    row a name comes out, and a piece that most names share is one counter.
+    """
+    spelled = F.create_map(*[F.lit(x) for kv in (names or {}).items() for x in kv]) if names else None
+    full = F.coalesce(F.try_element_at(spelled, F.col("name")), F.col("name")) if names else F.col("name")
+    left = a.select(F.col(ca).alias("name")).where(F.length("name") > 0).distinct().withColumn("full_name", full)
+    left = staged(left.withColumn("key", F.upper("full_name")))
+    right = b.select(F.col(cb).alias("value")).where(F.length("value") > 0).distinct()
+    right = staged(right.groupBy(F.upper("value").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first")))
+    pieces = _pieces(right, left).groupBy("piece").agg(F.sum("n").alias("n_containing"), F.min("first").alias("first_holding"))
+    within = _pieces(left.select("key").distinct(), right).where("piece <> key").join(right.select(F.col("key").alias("piece"), "n", "first"), "piece")
+    within = within.groupBy("key").agg(F.sum("n").alias("n_contained"), F.min("first").alias("first_within"))
+    written = b.select(F.col(cb).alias("full_name"), F.lit(True).alias("_written")).where("full_name is not null").distinct()
+    return (
+        left.join(pieces.withColumnRenamed("piece", "key"), "key", "left").join(within, "key", "left").join(written, "full_name", "left")
+        .select(
+            "name", "full_name", F.coalesce("_written", F.lit(False)).alias("found_in_b"),
+            F.coalesce("n_containing", F.lit(0)).alias("n_containing"), F.coalesce("n_contained", F.lit(0)).alias("n_contained"),
+            F.least("first_holding", "first_within").alias("first_match"),
+        )
+    )
+
+
+def _pieces(outer: DataFrame, inner: DataFrame) -> DataFrame:
+    """The distinct pieces of each key of ``outer`` that are as long as some key of ``inner``, beside its row."""
+    # One row with an array bounded by the longest key.
+    lengths = inner.agg(F.collect_set(F.length("key")).alias("lengths"))
+    fits = F.filter("lengths", lambda n: n <= F.length("key"))
+    cuts = F.transform(fits, lambda n: F.transform(F.sequence(F.lit(1), F.length("key") - n + 1), lambda i: F.substring(F.col("key"), i, n)))
+    return outer.crossJoin(F.broadcast(lengths)).select(*outer.columns, F.explode(F.array_distinct(F.flatten(cuts))).alias("piece"))
+
+
 def _substring_pairs(outer: DataFrame, oc: str, inner: DataFrame, ic: str) -> DataFrame:
     lengths = inner.agg(F.collect_set(F.length(ic)).alias("lengths"))
     # One row with an array bounded by the longest name.

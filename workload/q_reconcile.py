@@ -8,6 +8,7 @@ from terrasift.functions import geometry as G
 from terrasift.functions.places import RULE_BOX
 from terrasift.functions.text import match_name
 from terrasift.operators import reconcile as X
+from terrasift.operators.overview import described
 from terrasift.operators import spatial as SP
 from workload.inputs import NOTCHED, polygon
 from workload.q_columns import real
@@ -57,6 +58,28 @@ def _(t):
     return X.overview(t.supplier, "supplier").withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
 
 
+def _text_column(table, c, kind):
+    n = f"from (select {c} v, count(*) n from {table} where {c} is not null group by 1)"
+    return f"select '{table}' as \"table\", '{c}' as \"column\", '{kind}' as data_type, (select count(*) from {table}) as n_rows, (select count({c}) from {table}) as n_values, (select count(*) {n}) as \"unique\", (select v {n} order by n desc, v limit 1) as top, (select max(n) {n}) as freq, null as mean, null as std, null as min, null as q25, null as q50, null as q75, null as max"
+
+
+def _number_column(table, c, kind):
+    quartiles = ", ".join(f"quantile_cont(cast({c} as double), {q}) as q{int(q * 100)}" for q in (0.25, 0.5, 0.75))
+    return f"select '{table}', '{c}', '{kind}', count(*), count({c}), null, null, null, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4), min(cast({c} as double)), {quartiles}, max(cast({c} as double)) from {table}"
+
+
+@query("x01_describe_all", " union all ".join(
+    [_text_column("facility_b_raw", c, "string") for c in ("state", "state_code", "county", "county_code", "payam", "payam_code", "facility_name", "type", "facilities_code")]
+    + [_number_column("facility_b_raw", *c) for c in (("row_id", "bigint"), ("latitude", "double"), ("longitude", "double"))]
+    + [_number_column("lineitem", *c) for c in (("l_orderkey", "bigint"), ("l_quantity", "double"), ("l_linenumber", "int"), ("l_extendedprice", "double"))]
+    + [_text_column("lineitem", c, k) for c, k in (("l_returnflag", "string"), ("l_shipdate", "timestamp_ntz"))]
+))
+def _(t):
+    lines = t.lineitem.select("l_orderkey", "l_quantity", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
+    both = described(t.facility_b_raw, "facility_b_raw").unionByName(described(lines, "lineitem"))
+    return both.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
+
+
 @query("x02_mapping_summary", "select count(*) as n_keys, count(*) filter (n > 1) as n_ambiguous from (select state_code, count(distinct state) n from side_a where state_code is not null group by 1)")
 def _(t):
     return X.mapping_summary(side_a(t), "state_code", "state")
@@ -106,6 +129,30 @@ def _(t):
     return X.containment_matches(side_a(t).select(F.concat(F.lit("x"), "county").alias("county")), "county", side_b(t), "county")
 
 
+# A holds abbreviations, B the names spelled out in several ways.
+_SHORT = f"(array[{', '.join(repr(x) for x in X.STATE_NAMES)}, 'jong', 'Upper Nile', 'x'])"
+_LONG = f"(array[{', '.join(repr(x) for x in X.STATE_NAMES.values())}, 'Nile', 'Bahr El'])"
+_SPELLED = " ".join(f"when '{k}' then '{v}'" for k, v in X.STATE_NAMES.items())
+
+
+@query("x07_abbreviations", f"""
+    select name, full_name, exists (select 1 from b where value = full_name) as found_in_b,
+           (select count(*) from b where contains(upper(value), upper(full_name))) as n_containing,
+           (select count(*) from b where contains(upper(full_name), upper(value)) and upper(value) <> upper(full_name)) as n_contained,
+           (select min(value) from b where contains(upper(value), upper(full_name)) or contains(upper(full_name), upper(value))) as first_match
+    from (select distinct name, case name {_SPELLED} else name end as full_name from (select {_SHORT}[1 + o_orderkey % 14] || case when o_orderkey % 50 = 0 then ' ' || o_orderkey else '' end as name from orders)) a
+""".replace("from b", "from (select distinct value from (select case when c_custkey % 5 = 0 then upper(v) when c_custkey % 7 = 0 then v || ' State' when c_custkey % 60 = 1 then v || ' ' || c_custkey else v end as value from (select c_custkey, " + _LONG + "[1 + c_custkey % 13] as v from customer)))"))
+def _(t):
+    def pick(k, n, words):
+        return F.element_at(F.array(*[F.lit(x) for x in words]), (1 + F.col(k) % n).cast("int"))
+
+    short = pick("o_orderkey", 14, (*X.STATE_NAMES, "jong", "Upper Nile", "x"))
+    key, v = F.col("c_custkey"), pick("c_custkey", 13, (*X.STATE_NAMES.values(), "Nile", "Bahr El"))
+    a = t.orders.select(F.concat(short, F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit(" "), F.col("o_orderkey").cast("string"))).otherwise("")).alias("state"))
+    b = t.customer.select(F.when(key % 5 == 0, F.upper(v)).when(key % 7 == 0, F.concat(v, F.lit(" State"))).when(key % 60 == 1, F.concat(v, F.lit(" "), key.cast("string"))).otherwise(v).alias("state"))
+    return X.containment_summary(a, "state", b, "state", X.STATE_NAMES)
+
+
 @query("x08_business_key", f"select cast(sum(n) as bigint) as total_rows, count(k) as unique_keys, {pct('(sum(n) - count(k))', 'sum(n)')} as duplicate_rate, sum(n) = count(k) as is_business_key, count(*) filter (k is not null and n > 1) as duplicate_keys, max(n) filter (k is not null) as max_per_key from (select facility_code k, count(*) n from side_b group by 1)")
 def _(t):
     return X.business_key(side_b(t), "facility_code")
