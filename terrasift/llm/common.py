@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,13 +19,25 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 # Documents handed to a Python worker at once, which bounds its memory.
 BATCH_ROWS = 500
+BATCH_BYTES = 32 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Let Python workers receive few documents at a time, since one may hold megabytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    key, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+    # A batch holds no more than so many bytes either, however long its texts are.
+    if int(re.match(r"\d+", spark.conf.get(size))[0]) > BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name itself, or with underscores behind it where the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -112,11 +112,12 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
         F.sum(F.col("taken") / F.col("size")).cast("int").alias("_copies"), F.count("*").alias("_rows")
     )
     copies = saved(copies.where("_copies > 0"))
-    keyed = docs.withColumns({"_h": F.xxhash64("text"), "_id": F.col("doc_id").cast("long")})
+    # The columns of the table travel in one, so that their names cannot clash.
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_all"), F.xxhash64("text").alias("_h"), F.col("doc_id").cast("long").alias("_id"))
     # Null ids are told apart from all others by a flag, so that the join is an equality.
     for_join = lambda df: df.withColumns({"_none": F.col("_id").isNull(), "_id": F.coalesce("_id", F.lit(0))})
     found = narrow_join(for_join(keyed), for_join(copies), ["_id", "_none", "_h"])
     once = found.where("_rows = 1")
     if not copies.where("_rows > 1").isEmpty():
         once = once.unionByName(found.where("_rows > 1").dropDuplicates(["_id", "_none", "_h"]))
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    return once.select("_all", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_all.*")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import components, groups, narrow_join, saved, small_batches
+from terrasift.llm.common import fresh, without, components, groups, narrow_join, saved, small_batches
 from terrasift.llm.signature_tree import bitmap, links, survivors, width_for
 
 # Classes that one tree holds at most.
@@ -382,3 +382,27 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     named_class = of_class.join(least, "component").select("cls", "component_id")
     linked = described.join(named_class, "cls", "left")
     return linked.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) without those near to another that stays: of each
+    component one row, with all columns.
+
+    The row of the least doc_id stays, nulls last; of equal doc_ids that of the
+    least MD5 of the text. Rows are compared as such, whatever doc_ids they share
+    or lack; rows without words stay.
+    """
+    ids = docs.groupBy(F.col("doc_id").alias("doc_id")).count()
+    if ids.where("doc_id is null or count > 1").isEmpty():
+        found = saved(ngram_components(docs, size, percent).select("doc_id", "component_id"))
+        return without(docs, found.where("component_id <> doc_id"))
+    key = fresh(docs, "_key")
+    keyed = saved(docs.withColumn(key, F.monotonically_increasing_id()))
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    groups = ngram_components(rows, size, percent).select(F.col("doc_id").alias("id"), "component_id")
+    order = keyed.select(F.col(key).alias("id"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.md5("text").alias("text"), F.col(key).alias("id")).alias("order"))
+    ranked = saved(groups.join(order, "id"))
+    # A minimum and a join on the component; a group is never gathered.
+    first = saved(ranked.groupBy("component_id").agg(F.min("order").alias("first")))
+    gone = saved(ranked.join(first, "component_id").where("id <> first.id").select(F.col("id").alias(key)))
+    return narrow_join(keyed, gone, [key], "left_anti").select(docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import held_out, saved, small_batches
+from terrasift.llm.common import fresh, held_out, saved, small_batches
 
 # The documented bounds of the sample: labelled documents with the least hashes,
 # of at most so many characters each.
@@ -96,15 +96,18 @@ class QualityModel:
 
     def _pooled(self, text, ids, hashes) -> np.ndarray:
         words = _words(text)
-        row = np.zeros(_EXTRA)
         n = len(words)
+        return self.pooled(np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=n), np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=n))
+
+    def pooled(self, at: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Features of a document from the vocabulary ids and the hashes of its words."""
+        row = np.zeros(_EXTRA)
+        n = len(at)
         if not n:
             return row
-        at = np.fromiter(map(ids.__getitem__, words), dtype=np.int64, count=n)
         # A few words say little, so the mean is drawn towards zero.
         row[:_DIM] = self.vectors[at].sum(axis=0) / (n + _PRIOR_WORDS)
         # Own index vectors of all words cancel out unless few words repeat.
-        h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=n)
         sign = np.where(h & np.uint64(1 << 20), 1.0, -1.0)
         own = np.bincount((h & np.uint64(1023)).astype(np.int64), weights=sign, minlength=1024)
         row[_DIM] = np.log1p((own**2).sum() / n)
@@ -122,31 +125,54 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def _word_vectors(texts: list[list[bytes]]) -> tuple[dict[bytes, int], np.ndarray]:
-    """Vocabulary (id 0 is no word) and context vectors of unit length."""
-    counts: dict[bytes, int] = {}
-    for words in texts:
-        for w in words:
-            counts[w] = counts.get(w, 0) + 1
-    names = {w for w, n in counts.items() if n >= _LEAST_COUNT} | {shape(w) for w in counts}
+class Sample:
+    """Labelled texts as arrays of word numbers; no text is held once it has been added."""
+
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.rows: list[tuple[tuple, np.ndarray, int]] = []
+
+    def add(self, text: str | None, label: int, key: tuple) -> None:
+        words, known = _words(text), self.words
+        ids = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int32, count=len(words))
+        self.rows.append((key, ids, label))
+
+    def ordered(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """Word numbers and labels in order of the keys, which may be asked for once."""
+        self.rows.sort(key=lambda r: r[0])
+        rows, self.rows = self.rows, []
+        return [r[1] for r in rows], np.array([r[2] for r in rows], dtype=float)
+
+
+def _word_vectors(texts: list[np.ndarray], words: list[bytes]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Vocabulary (id 0 is no word), context vectors of unit length, and the vocabulary id of each word number."""
+    counts = np.zeros(len(words), dtype=np.int64)
+    for at in texts:
+        counts += np.bincount(at, minlength=len(words))
+    names = {w for w, n in zip(words, counts.tolist(), strict=True) if n >= _LEAST_COUNT} | {shape(w) for w in words}
     vocabulary = {w: i + 1 for i, w in enumerate(sorted(names))}
     size = len(vocabulary) + 1
     place, sign = _index_vectors(size)
     ids = _Ids(vocabulary)
+    # Rare words stand for their shapes, as they do when documents are scored.
+    entry = np.array([ids[w] for w in words], dtype=np.int64)
     total = np.zeros(size * _DIM)
-    for words in texts:
-        # Rare words stand for their shapes, as they do when documents are scored.
-        at = np.array([ids[w] for w in words], dtype=np.int64)
+    for raw in texts:
+        at = entry[raw]
         for off in range(1, _REACH + 1):
             for a, b in ((at[:-off], at[off:]), (at[off:], at[:-off])):
                 if len(a):
                     np.add.at(total, (a[:, None] * _DIM + place[b]).ravel(), sign[b].ravel())
-    vectors = total.reshape(size, _DIM)
-    # Its own index vector keeps an entry apart from others in like company.
-    own = np.zeros_like(vectors)
-    np.add.at(own, (np.arange(size)[:, None], place), sign)
+    context = total.reshape(size, _DIM)
+    vectors = np.empty((size, _DIM), dtype=np.float32)
     length = lambda v: np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-    return vocabulary, (vectors / length(vectors) + own / length(own)).astype(np.float32)
+    for lo in range(0, size, 4096):
+        part = slice(lo, min(lo + 4096, size))
+        # Its own index vector keeps an entry apart from others in like company.
+        own = np.zeros((part.stop - lo, _DIM))
+        np.add.at(own, (np.arange(part.stop - lo)[:, None], place[part]), sign[part])
+        vectors[part] = context[part] / length(context[part]) + own / length(own)
+    return vocabulary, vectors, entry
 
 
 def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -175,16 +201,18 @@ def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return layers
 
 
-def fit(texts: list[str], labels: list[int]) -> QualityModel:
-    """Fit on texts with labels 0 and 1; the order of the texts decides nothing but the split."""
-    y = np.array(labels, dtype=float)
+def fit(sample: Sample) -> QualityModel:
+    """Fit on texts with labels 0 and 1; the order of their keys decides nothing but the split."""
+    texts, y = sample.ordered()
     n1 = float(y.sum()) if len(y) else 0.0
-    words = [_words(t) for t in texts]
-    vocabulary, vectors = _word_vectors(words)
+    words, sample.words = list(sample.words), {}
+    vocabulary, vectors, entry = _word_vectors(texts, words)
     model = QualityModel(vocabulary, vectors, np.zeros(_EXTRA), np.ones(_EXTRA), None, 1.0, (n1 + 1) / (len(y) + 2))
     if n1 in (0.0, float(len(y))):
         return model  # one class only: its smoothed share is every score
-    x = model.features(texts)
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
+    x = np.array([model.pooled(entry[t], hashes[t]) for t in texts]).reshape(-1, _EXTRA)
+    del texts, words, entry, hashes
     calibrating = np.arange(len(y)) % 5 == 0
     if len(set(y[~calibrating])) < 2:
         calibrating[:] = False
@@ -216,12 +244,15 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame) -> QualityModel:
     sample = saved(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS).select("doc_id", "quality"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= SAMPLE_CHARS)
     found = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.max("text").alias("text"))
-    rows = sorted(found.collect(), key=lambda r: (xxhash.xxh64_intdigest(str(r["doc_id"])), r["doc_id"]))
-    return fit([r["text"] for r in rows], [r["quality"] for r in rows])
+    taken = Sample()
+    # One partition at a time, and each text only until its words are numbered.
+    for r in found.toLocalIterator():
+        taken.add(r["text"], r["quality"], (xxhash.xxh64_intdigest(str(r["doc_id"])), r["doc_id"]))
+    return fit(taken)
 
 
 def score_documents(docs: DataFrame, model: QualityModel, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, score and predicted of each row of ``docs``; with ``keep``, all columns of ``docs`` with ``_predicted``.
+    """doc_id, held_out, score and predicted of each row of ``docs``; with ``keep``, all columns of ``docs`` with ``_predicted`` as the last, under another name if there is such a column.
 
     Null and empty texts are documents without words and get the network's score
     for such. Rows without a doc_id and repeated rows are scored alike.
@@ -236,12 +267,14 @@ def score_documents(docs: DataFrame, model: QualityModel, keep: bool = False) ->
             yield batch, score, (score >= CUT).astype(np.int32)
 
     if keep:
+        flag = fresh(docs, "_predicted")
+
         def run_all(batches):
             for batch, _, predicted in scored(batches):
-                yield batch.append_column("_predicted", pa.array(predicted))
+                yield batch.append_column(flag, pa.array(predicted))
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.mapInArrow(run_all, f"{schema}, _predicted int")
+        return docs.mapInArrow(run_all, f"{schema}, {flag} int")
 
     def run(batches):
         for batch, score, predicted in scored(batches):
@@ -256,4 +289,4 @@ def score_documents(docs: DataFrame, model: QualityModel, keep: bool = False) ->
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier predicts to be of quality 1, with their columns."""
     kept = score_documents(docs, fit_on_labels(docs, labels), keep=True)
-    return kept.where("_predicted = 1").select(docs.columns)
+    return kept.where(F.col(kept.columns[-1]) == 1).select(docs.columns)

@@ -362,3 +362,32 @@ def test_pipeline(spark):
     assert tokens.count() == mixed.count()
     twice = one.unionByName(one)
     assert cp.ngram_jaccard_join(spark, twice, SF).count() == one.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline as cp
+
+    a, b = "one two three four five six seven eight nine ten " * 3, "red green blue black white pink grey brown gold teal " * 3
+    rows = [(1, a), (1, b), (1, a), (2, a + "ten"), (None, b), (None, None), (None, "alone among the others it is here"), (3, ""), (3, None), (4, " \n")]
+    names = ("_id", "_copies", "_predicted", "_h", "_rows", "_key", "_ALL")
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s" if k % 2 else None, k, *(f"{n}{k}" for n in names)) for k, (i, t) in enumerate(rows)],
+        "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names),
+    ).repartition(3)
+    own = {f"{k}": r for k, r in enumerate(rows)}
+
+    def intact(df):
+        found = df.collect()
+        assert df.columns == docs.columns
+        assert all(r[n] == f"{n}{r['_id'][3:]}" for r in found for n in names)
+        return sorted(r["_id"][3:] for r in found)
+
+    left = intact(cp.ngram_jaccard_join(spark, docs, SF))
+    # One of the three rows near a, one of b; all rows without near ones.
+    assert len(set(left) & {"0", "2", "3"}) == 1 and not set(left) & {"3"} and set(left) & {"1", "4"} == {"1"} and set(left) >= set("56789")
+    mixed = intact(cp.mix_sources(spark, docs, SF))
+    assert set(mixed) and all((own[k][1] or "").split() for k in mixed)
+    assert set(intact(cp.quality_classifier(spark, docs, SF))) <= set(own)
+    for stage in ("quality_classifier", "ngram_jaccard_join", "pii", "mix_sources"):
+        assert getattr(cp, stage)(spark, docs.limit(0), SF).count() == 0
+    assert cp.bpe(spark, docs, SF).count() == len(rows)
