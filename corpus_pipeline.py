@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from terrasift.llm.bpe import encode_documents
-from terrasift.llm.common import saved, table, without
+from terrasift.llm.common import saved, table
 from terrasift.llm.mixing import mixed_documents
-from terrasift.llm.ngram_join import ngram_components
+from terrasift.llm.ngram_join import one_of_each_group
 from terrasift.llm.pii import sanitised
 from terrasift.llm.quality_classifier import accepted_documents
 from terrasift.session import ship_code
@@ -24,19 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the least doc_id.
-
-    Rows without a doc_id stay. Of rows that share a doc_id one stays, that of
-    the smallest text.
-    """
-    found = saved(ngram_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT).select("doc_id", "component_id"))
-    kept = without(docs, found.where("component_id <> doc_id"))
-    repeated = saved(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in kept.columns if c not in ("doc_id", "text")])).alias("row"))
-    again = again.select("doc_id", "row.*").select(kept.columns)
-    return without(kept, repeated).unionByName(again)
+    """One document of each near-duplicate group, that of the least doc_id; rows count by their texts, whatever doc_ids they share or lack."""
+    return one_of_each_group(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
