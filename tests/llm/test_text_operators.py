@@ -160,6 +160,47 @@ def test_quality_classifier(spark, nasty, empty):
     assert {r["score"] for r in score_documents(nasty, unlabelled).collect()} == {0.5}
 
 
+def brute_scores(spark, texts, trusted):
+    """Scores by plain counts of n-grams; only the hash of an n-gram is asked of the engine."""
+    from terrasift.llm.quality_rules import BUCKETS, PRIOR
+
+    def grams(t):
+        w = WORDS.findall(t)
+        long = [x[k : k + 8] for x in w if len(x) > 16 for k in range(0, len(x), 8)]
+        return [(1, x, None) for x in w] + [(2, a, b) for a, b in zip(w, [*w[1:], None], strict=True)] + [(3, x, None) for x in long]
+
+    of = {i: grams(t) for i, t in texts.items()}
+    asked = spark.createDataFrame(sorted({g for x in of.values() for g in x}, key=repr), "kind int, a string, b string")
+    hashed = asked.select("*", F.expr(f"pmod(case kind when 1 then hash(a) when 2 then hash(2, a, b) else hash(3, a) end, {BUCKETS})").alias("h"))
+    bucket = {(r["kind"], r["a"], r["b"]): r["h"] for r in hashed.collect()}
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for i, x in of.items():
+        at = np.bincount([bucket[g] for g in x], minlength=BUCKETS) if x else 0
+        raw += at
+        target += at if i in trusted else 0
+    p_raw = (raw + 1) / (raw.sum() + BUCKETS)
+    ratio = np.log((target + PRIOR * p_raw) / (target.sum() + PRIOR) / p_raw)
+    return {i: float(np.mean([ratio[bucket[g]] for g in x])) if x else 0.0 for i, x in of.items()}
+
+
+def test_quality_score_sees_the_whole_text(spark):
+    from terrasift.llm.quality_rules import judge_quality
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {i: t for i, t in texts_of(spark).items() if len(t.split()) > 100}
+    trusted = {r["doc_id"] for r in labels.where("quality = 1 and coalesce(toxic, 0) = 0").collect()}
+    i, text = next((i, t) for i, t in sorted(texts.items()) if i in trusted)
+    rng = random.Random(1)
+    inside = " ".join(w[:3] + "xqzjkvwqxz" + w[3:] if len(w) > 3 else w for w in text.split())
+    mixed = text.split()
+    rng.shuffle(mixed)
+    others = [(1000 + i, inside), (2000 + i, " ".join(mixed)), (3000 + i, "xqzj" * 5000), (4000 + i, "vwqk" * 5000)]
+    docs = spark.createDataFrame([*texts.items(), *others], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in judge_quality(docs, labels).collect()}
+    assert len({round(got[k + i], 6) for k in (0, 1000, 2000)}) == 3 and got[1000 + i] < got[i] and got[2000 + i] < got[i]
+    assert got[3000 + i] != 0.0 and got[4000 + i] != 0.0
+
+
 def test_quality_rules(spark, nasty, empty):
     from terrasift.llm.quality_rules import judge_quality
 
@@ -177,6 +218,10 @@ def test_quality_rules(spark, nasty, empty):
         n = counts(texts[r["doc_id"]])
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == n
         assert r["base_failed"] == (n[0] < 50 or 100 * n[4] > 50 * n[0]) and not (r["base_failed"] and r["kept"])
+    trusted = {r["doc_id"] for r in labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0").collect()}
+    score, kept = brute_scores(spark, texts, trusted), {r["doc_id"]: r["kept"] for r in rows}
+    assert all(abs(r["score"] - score[r["doc_id"]]) < 1e-9 for r in rows)
+    assert all(kept[i] == (s >= -0.02) for i, s in score.items() if not next(r for r in rows if r["doc_id"] == i)["base_failed"])
     assert sorted(map(str, (tuple(r)[1:6] for r in judge_quality(nasty, labels.limit(0)).collect()))) == sorted(str(counts(t or "")) for _, t in NASTY)
     assert judge_quality(empty, labels).count() == 0
 
