@@ -9,7 +9,7 @@ from terrasift.functions.places import PROFILE_BOX
 from terrasift.operators import catalog as C
 from terrasift.operators import gate as V
 from terrasift.operators import profiling as R
-from workload.inputs import spread
+from workload.inputs import BASE, spread
 from workload.registry import query
 
 c = F.col
@@ -194,9 +194,9 @@ def _profile(name, cols, table):
         {_pct(missing, f'(count(*) * {len(cols)})', 2)} as missing_percent from {table}"""
 
 
-_LABELS = ("lang", "label")
+_TEXT_COLUMNS = ("doc_id", "lang", "source", "text", "label", "n_text")
 _F01 = _profile("dirty_line", _LINE, "dirty_line")
-_F03 = f"{_F01} union all {_profile('labels', _LABELS, 'dirty_text')}"
+_F03 = f"{_F01} union all {_profile('dirty_text', _TEXT_COLUMNS, 'dirty_text')}"
 
 
 @query("f01_table_profile", _F01)
@@ -209,13 +209,9 @@ def _(t):
     return R.column_profile(t.dirty_line, "dirty_line")
 
 
-def labels(t):
-    return t.dirty_text.select("lang", "label")
-
-
 @query("f03_tables_summary", _F03)
 def _(t):
-    return R.tables_summary({"dirty_line": t.dirty_line, "labels": labels(t)})
+    return R.tables_summary({"dirty_line": t.dirty_line, "dirty_text": t.dirty_text})
 
 
 def gappy(t):
@@ -248,9 +244,13 @@ def _(t):
     return R.observations(gappy(t), "gappy")
 
 
-@query("f07_structural", "select 'orders' as \"table\", count(*) as row_count, count(*) - count(distinct (o_orderkey, o_custkey, o_orderstatus)) as duplicate_rows, cast(3 as bigint) as column_count, case when count(distinct o_orderkey) = count(*) then 'o_orderkey' else '' end as key_candidates from orders")
+_ORDER = ('o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority')
+_KEYS = " || ".join(f"case when count(distinct {x}) = count(*) then ', {x}' else '' end" for x in _ORDER)
+
+
+@query("f07_structural", f"select 'orders' as \"table\", count(*) as row_count, count(*) - (select count(*) from (select distinct * from orders)) as duplicate_rows, cast({len(_ORDER)} as bigint) as column_count, substr({_KEYS}, 3) as key_candidates from orders")
 def _(t):
-    return R.structural(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), "orders")
+    return R.structural(t.orders, "orders")
 
 
 def _complete(i, x, is_text):
@@ -264,9 +264,9 @@ def _complete(i, x, is_text):
     return f"select {i} as position, '{x}' as column, count(*) as total, {null} as null_count, {p(null)} as null_pct, {blank} as blank, {p(blank)} as blank_pct, {space} as whitespace_only, {ph} as placeholder_count, {p(ph)} as placeholder_pct, {filled} as filled, {p(filled)} as filled_pct from dirty_text"
 
 
-@query("f08_completeness", " union all ".join(_complete(i, x, x != "doc_id") for i, x in enumerate(("doc_id", "lang", "label", "n_text"))))
+@query("f08_completeness", " union all ".join(_complete(i, x, x != "doc_id") for i, x in enumerate(("doc_id", "lang", "source", "text", "label", "n_text"))))
 def _(t):
-    return R.completeness(t.dirty_text, ["doc_id", "lang", "label", "n_text"])
+    return R.completeness(t.dirty_text, ["doc_id", "lang", "source", "text", "label", "n_text"])
 
 
 def _uniq(i, x, table):
@@ -278,9 +278,9 @@ def _(t):
     return R.uniqueness(t.dirty_text, ["doc_id", "lang", "source", "text", "label", "n_text"])
 
 
-@query("f09_duplicate_examples", " union all ".join(f"select '{x}' as column, v as value, n from (select {x} v, count(*) n from dirty_text where {x} is not null group by 1 having count(*) > 1 order by n desc, v limit 5)" for x in ("label", "n_text")))
+@query("f09_duplicate_examples", " union all ".join(f"select '{x}' as column, v as value, n from (select {x} v, count(*) n from dirty_text where {x} is not null group by 1 having count(*) > 1 order by n desc, v limit 5)" for x in ("lang", "source", "text", "label", "n_text")))
 def _(t):
-    return R.duplicate_examples(t.dirty_text, ["label", "n_text"])
+    return R.duplicate_examples(t.dirty_text, ["lang", "source", "text", "label", "n_text"])
 
 
 _TEXTS = ("text", "label", "n_text")
@@ -401,6 +401,6 @@ def _(t):
     return C.column_catalogue(t.dirty_line, "dirty_line")
 
 
-@query("s10_table_counts", " union all ".join(f"select '{n}' as table_name, count(*) as row_count from {n}" for n in ("customer", "documents", "events", "lineitem", "orders", "pages")))
+@query("s10_table_counts", " union all ".join(f"select '{n}' as table_name, count(*) as row_count from {n}" for n in BASE))
 def _(t):
-    return C.row_counts({n: getattr(t, n) for n in ("customer", "documents", "events", "lineitem", "orders", "pages")})
+    return C.row_counts({n: getattr(t, n) for n in BASE})
