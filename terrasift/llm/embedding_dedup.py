@@ -41,6 +41,11 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(n)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by the power of two next to their largest component: squares neither overflow nor vanish, and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def bucket_codes(x: np.ndarray, tables: int = TABLES) -> np.ndarray:
     """Codes (rows, tables, 2) of unit vectors: of the nearest axes, and with the second hash's next nearest."""
     width = 1 << max(1, int(np.ceil(np.log2(max(2, x.shape[1])))))
@@ -75,7 +80,7 @@ def _links(table: pa.Table, threshold: float, tables: int):
     side = table.column("side").to_numpy()
     cls, weight = table.column("cls").to_numpy(), table.column("weight").to_numpy()
     bucket_table, bucket_code = int(table.column("t")[0].as_py()), int(table.column("code")[0].as_py())
-    raw = np.stack([np.frombuffer(b.as_buffer(), dtype=np.float32) for b in table.column("vec")]).astype(np.float64)
+    raw = np.stack([np.frombuffer(b.as_buffer(), dtype=np.float64) for b in table.column("vec")])
     codes = np.stack([np.frombuffer(b.as_buffer(), dtype=np.int64) for b in table.column("codes")]).reshape(len(cls), tables, 2)
     norm = np.sqrt((raw * raw).sum(axis=1))
     rows = np.flatnonzero(side <= 1)
@@ -114,7 +119,7 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, table
     """
     spark = vectors.sparkSession
     small_batches(spark, 2000)
-    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<float>").alias("embedding"))
+    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     usable = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite, F.lit(False))
     rows = saved(base.withColumn("cls", F.when(usable, F.xxhash64("label", F.size("embedding"), "embedding"))))
@@ -129,16 +134,15 @@ def embedding_components(vectors: DataFrame, threshold: float = THRESHOLD, table
                 continue
             lists = batch.column("embedding")
             length = np.diff(lists.offsets.to_numpy())
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             starts = np.concatenate([[0], np.cumsum(length)])
-            codes = [b""] * batch.num_rows
+            codes, vec = [b""] * batch.num_rows, [b""] * batch.num_rows
             for n in np.unique(length):
                 at = np.flatnonzero(length == n)
-                x = np.stack([values[starts[k] : starts[k] + n] for k in at]).astype(np.float64)
+                x = scaled(np.stack([values[starts[k] : starts[k] + n] for k in at]))
                 found = bucket_codes(x / np.sqrt((x * x).sum(axis=1, keepdims=True)), tables)
-                for k, c in zip(at, found, strict=True):
-                    codes[k] = c.tobytes()
-            vec = [values[starts[k] : starts[k + 1]].tobytes() for k in range(batch.num_rows)]
+                for k, c, v in zip(at, found, x, strict=True):
+                    codes[k], vec[k] = c.tobytes(), v.tobytes()
             grouped = pa.array([n for n in length], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cls"), batch.column("label"), grouped, pa.array(vec, pa.binary()), pa.array(codes, pa.binary()),

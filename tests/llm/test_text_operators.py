@@ -226,6 +226,15 @@ def test_quality_rules(spark, nasty, empty):
     assert judge_quality(empty, labels).count() == 0
 
 
+def test_embeddings_in_double_precision(spark):
+    from terrasift.llm.embedding_dedup import embedding_components
+
+    rows = [(1, [1e-50, 0.0]), (2, [1e-50, 0.0]), (3, [1e200, 1e200]), (4, [1e200, 1e200]), (5, [3e-200, 3e-200]), (6, [0.0, 0.0]), (7, [1.0, float("inf")]), (8, [1.0, 1.0 + 1e-12])]
+    df = spark.createDataFrame([(i, "a", v) for i, v in rows], "vec_id long, label string, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_components(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 3), 4: (3, 3), 5: (3, 3), 6: (0, 6), 7: (0, 7), 8: (3, 3)}
+
+
 def test_embeddings(spark):
     from terrasift.llm import embedding_dedup
 
