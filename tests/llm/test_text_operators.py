@@ -127,7 +127,12 @@ def test_language_id(spark, nasty, empty):
 
     rng = random.Random(1)
     stretches = [[rng.randrange(2, 6) for _ in range(40)] for _ in range(4)]
-    table = suffix_automaton(np.array([x for s in stretches for x in [*s, 0]], dtype=np.uint8), 8)
+    symbols = np.array([x for s in stretches for x in [*s, 0]])
+    table = suffix_automaton(symbols, 8)[0]
+    narrow, keys, targets = suffix_automaton(symbols, 4)
+    listed = dict(zip(keys.tolist(), targets.tolist(), strict=True))
+    for state, x in [(s, x) for s in range(len(table)) for x in range(2, 6)]:
+        assert table[state][x] == (narrow[state][x] if x < 4 else listed.get((state << 21) + x, -1))
     parts = {tuple(s[i:j]) for s in stretches for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
     for _ in range(3000):
         probe = tuple(rng.randrange(2, 6) for _ in range(rng.randrange(1, 8)))
@@ -145,6 +150,26 @@ def test_language_id(spark, nasty, empty):
     assert {r["lang_pred"] for r in identify(nasty, fit_languages(empty)).collect()} == {"und"}
 
 
+def test_language_id_of_large_scripts(spark):
+    """Alphabets of thousands of letters, two vocabularies of one script, and a rare language among 300."""
+    from terrasift.llm.language_id import fit_languages, identify
+
+    rng = random.Random(5)
+    scripts = {"ko": (0xAC00, 2000), "zh": (0x4E00, 3000), "zh2": (0x4E00, 3000), "ru": (0x430, 32), "el": (0x3B1, 25), "en": (0x61, 26)}
+    words = {k: ["".join(chr(lo + rng.randrange(n)) for _ in range(rng.randint(1, 3) if n > 99 else rng.randint(3, 8))) for _ in range(900)] for k, (lo, n) in scripts.items()}
+    rows = [(i, " ".join(rng.choices(words[k], k=60)), k) for i in range(600) for k in [list(scripts)[i % 6]]]
+    rows += [(1000 + i, f"{chr(0x1200 + i)}{chr(0x1300 + i % 50)} " * 5, f"x{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).cache()
+    model = fit_languages(docs)
+    assert len(model.languages) >= 200
+    got = identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and doc_id < 1000").collect()
+    for k in scripts:
+        of = [r["lang_pred"] for r in got if r["lang"] == k]
+        assert of.count(k) >= 0.95 * len(of) > 0, (k, of)
+    taught = {r["doc_id"]: r for r in identify(docs, model).where("not held_out and doc_id >= 1000").collect()}
+    assert sum(r["lang_pred"] == f"x{d - 1000}" for d, r in taught.items()) >= 0.95 * len(taught)
+
+
 def test_quality_classifier(spark, nasty, empty):
     from terrasift.llm.quality_classifier import accepted_documents, fit_on_labels, score_documents
 
