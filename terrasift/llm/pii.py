@@ -10,10 +10,15 @@ within ``REACH`` code points of an entity. Over the whole corpus,
 where all four count distinct texts, so a group of copies is one of them: those
 with the term near the entity, with the term, with the entity, and all. The share
 n_both / n_term is taken at its lower bound of 95 % confidence (Wilson), which asks
-for more evidence the fewer texts there are but sets no least number. A term whose
-PMI so bounded reaches ``DISCLOSURE`` of the entity's information content discloses
-it, and is removed wherever it stands in a document that holds the entity.
-
+for more evidence the fewer texts there are but sets no least number. A term
+discloses an entity if, with the share so bounded, it leaves at most ``BITS_LEFT``
+of the entity's information content (IC - PMI, which is the share alone) and gives
+at least ``BITS_GIVEN`` of it (PMI), so entities in too large a part of the texts
+have none. Both depend on shares of the texts, not on how many there are. Such a
+term is removed wherever it stands in a document that holds the entity.
+
+Work is linear in a text and in its spans, but for a logarithm: parts of a text
+are read from blocks of it, and places are found by halving sorted arrays.
 Only DataFrame functions are used. Whole texts are not shuffled while the
 documents with disclosing terms are few enough to broadcast.
 """
@@ -23,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasift.llm.common import narrow_join, saved
+from terrasift.llm.common import BROADCAST_ROWS, fresh, narrow_join, saved
 
 # Fixed values of the contract: kinds in order, with their patterns. Repetitions
 # that cannot give back are possessive, and searches do not start inside a run
@@ -40,25 +45,60 @@ TERM = "term"
 KINDS = (*PATTERNS, TERM)
 
 REACH = 60
-DISCLOSURE = 0.85
+BITS_LEFT = 2
+BITS_GIVEN = 4
 # Of the normal distribution, for a one-sided bound of 95 %.
 CONFIDENCE = 1.645
 _BLOCK = 64
+_PIECE = 256
+# Terms of texts are broadcast up to so many characters, and joined with so many salts beyond.
+BROADCAST_CHARS = 16 << 20
+_SALTS = 16
 
 _SPAN = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
-def _running(lengths: Column) -> Column:
+def _running(values: Column, combine=lambda a, b: a + b) -> Column:
     """Exclusive running totals of an array of bigint, block by block so that long arrays stay cheap."""
 
     def grow(items: Column, step=lambda x: x) -> Column:
-        return F.aggregate(items, F.array(F.lit(0).cast("bigint")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + step(x))))
+        return F.aggregate(items, F.array(F.lit(0).cast("bigint")), lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), step(x)))))
 
-    starts = F.sequence(F.lit(1), F.size(lengths), F.lit(_BLOCK))
-    inner = F.transform(starts, lambda s: grow(F.slice(lengths, s, F.lit(_BLOCK))))
+    starts = F.sequence(F.lit(1), F.size(values), F.lit(_BLOCK))
+    inner = F.transform(starts, lambda s: grow(F.slice(values, s, F.lit(_BLOCK))))
     outer = grow(inner, lambda r: F.element_at(r, -1))
-    zipped = F.zip_with(inner, F.slice(outer, F.lit(1), F.size(outer) - 1), lambda r, o: F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda v: v + o))
-    return F.when(F.size(lengths) > 0, F.flatten(zipped)).otherwise(F.array().cast("array<bigint>"))
+    zipped = F.zip_with(inner, F.slice(outer, F.lit(1), F.size(outer) - 1), lambda r, o: F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda v: combine(v, o)))
+    return F.when(F.size(values) > 0, F.flatten(zipped)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _reach(spans: str) -> Column:
+    """For each of the sorted spans the greatest end of those before it."""
+    return _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+
+
+def _leading(items: str, holds) -> Column:
+    """How many items of a sorted array come before the first for which ``holds`` fails."""
+    n = F.size(items)
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        below = holds(F.get(items, mid))
+        return F.struct(F.when(below, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(below, acc["hi"]).otherwise(mid).alias("hi"))
+
+    ends = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+    return F.when(n > 0, F.aggregate(F.sequence(F.lit(1), F.length(F.bin(n))), ends, halve)["lo"]).otherwise(0)
+
+
+def _pieces(text: str, used: Column) -> Column:
+    """The text in pieces of ``_PIECE`` code points, where used."""
+    return F.when(used, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def _part(pieces: str, lo: Column, hi: Column) -> Column:
+    """The code points from ``lo`` to before ``hi`` of a text in pieces."""
+    first, last = F.floor(lo / _PIECE).cast("int"), F.floor((hi - 1) / _PIECE).cast("int")
+    joined = F.array_join(F.slice(pieces, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.substr(joined, (lo - first * _PIECE + 1).cast("int"), (hi - lo).cast("int"))
 
 
 def _digits(value: Column) -> Column:
@@ -136,12 +176,16 @@ def _share(k: str, n: str) -> Column:
 
 def disclosing_terms(spans: DataFrame) -> DataFrame:
     """(doc, term) where the text hashed to ``doc`` has a term that discloses an entity it holds, over all rows (text, base)."""
-    held = spans.where(F.size("base") > 0).select("text", F.xxhash64("text").alias("doc"), F.explode("base").alias("s"))
-    before = F.substr("text", F.greatest(F.lit(1), (F.col("s.start") - REACH + 1).cast("int")), F.least(F.lit(REACH), F.col("s.start").cast("int")))
-    before = F.when(F.col("s.start") > REACH, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substr("text", (F.col("s.end") + 1).cast("int"), F.lit(REACH))
-    after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    contexts = saved(held.select(_entity(F.col("s")).alias("entity"), F.lower(F.concat(before, F.lit(" "), after)).alias("words"), "doc"))
+    held = spans.select(F.xxhash64("text").alias("doc"), "base", _pieces("text", F.size("base") > 0).alias("pieces"))
+
+    def context(s: Column) -> Column:
+        before = _part("pieces", F.greatest(F.lit(0), s["start"] - REACH), s["start"])
+        before = F.when(s["start"] > REACH, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
+        after = _part("pieces", s["end"], s["end"] + REACH)
+        after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
+        return F.struct(_entity(s).alias("entity"), F.lower(F.concat(before, F.lit(" "), after)).alias("words"))
+
+    contexts = saved(held.select("doc", F.explode(F.transform("base", context)).alias("c")).select("c.entity", "c.words", "doc"))
     holders = contexts.select("doc", "entity").distinct()
     entities = holders.groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms = F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(_LETTERS), F.lit(0)))).alias("term")
@@ -151,15 +195,18 @@ def disclosing_terms(spans: DataFrame) -> DataFrame:
         return pairs.select(F.lit(0).cast("bigint").alias("doc"), "term")
     total = float(spans.select(F.xxhash64("text").alias("doc")).distinct().count())
 
+    def telling(n_both: str, n_term: str) -> Column:
+        return _share(n_both, n_term) >= 2.0**-BITS_LEFT
+
     def reveals(n_term: str) -> Column:
-        pmi = F.log(_share("n_both", n_term) * total / F.col("n_entity"))
-        return pmi >= DISCLOSURE * F.log(F.lit(total) / F.col("n_entity"))
+        gives = _share("n_both", n_term) * total / F.col("n_entity") >= 2.0**BITS_GIVEN
+        return telling("n_both", n_term) & gives
 
     # A term is in at least as many texts as there are with it near an entity;
     # the terms and pairs that fail even by that number, such as common words, go first.
     least = seen.select("term", "doc").distinct().groupBy("term").agg(F.count("*").alias("n_least"))
     most = pairs.groupBy("term").agg(F.max("n_both").alias("n_most"))
-    least = saved(least.join(most, "term").where(_share("n_most", "n_least") >= total ** (DISCLOSURE - 1)).drop("n_most"))
+    least = saved(least.join(most, "term").where(telling("n_most", "n_least")).drop("n_most"))
     pairs = saved(narrow_join(narrow_join(pairs, least, ["term"]), saved(entities), ["entity"]).where(reveals("n_least")).drop("n_least"))
     if pairs.isEmpty():
         return pairs.select(F.lit(0).cast("bigint").alias("doc"), "term")
@@ -173,28 +220,49 @@ def disclosing_terms(spans: DataFrame) -> DataFrame:
     return places.join(disclosed, "term").join(holders, ["doc", "entity"], "left_semi").select("doc", "term").distinct()
 
 
+def _with_terms(found: DataFrame, disclosed: DataFrame) -> DataFrame:
+    """Add ``_terms``, the sorted disclosing terms of each text; where they are too many to
+    broadcast, copies of a text are spread over salts."""
+    terms = saved(disclosed.groupBy(F.col("doc").alias("_key")).agg(F.sort_array(F.collect_set("term")).alias("_terms")))
+    found = found.withColumn("_key", F.xxhash64("text"))
+    held = terms.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.sum(F.length(F.array_join("_terms", " "))))
+    rows, chars = held.first()
+    if rows <= BROADCAST_ROWS and (chars or 0) <= BROADCAST_CHARS:
+        return found.join(F.broadcast(terms), "_key", "left").drop("_key")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_SALTS)).cast("int"))
+    return salted.join(terms.select("_key", "_terms", salts), ["_key", "_salt"], "left").drop("_key", "_salt")
+
+
 def with_all_spans(docs: DataFrame) -> DataFrame:
-    """Add ``base`` and ``spans`` (base ones and disclosing terms, by start, then kind) to all columns.
+    """Rows of ``docs`` as ``text`` (empty for null), ``_row`` (its other columns, and whether the
+    text is null in the first field), ``base`` and ``spans`` (base ones and disclosing terms, by start, then kind).
 
     A null text counts as empty and has no spans. Repeated rows and rows without
     a doc_id are treated alike; an empty table stays empty.
     """
-    columns = docs.columns
-    found = with_base_spans(docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs["text"].alias("text")))
+    others = [docs[c] for c in docs.columns if c != "text"]
+    row = F.struct(docs["text"].isNull().alias(fresh(docs, "_blank")), *others)
+    found = with_base_spans(docs.select(row.alias("_row"), docs["text"].alias("text")))
     disclosed = saved(disclosing_terms(found.select("text", "base")))
     if disclosed.isEmpty():
         return found.withColumn("spans", F.col("base"))
-    found = found.withColumn("_key", F.xxhash64("text"))
-    terms = saved(disclosed.groupBy(F.col("doc").alias("_key")).agg(F.collect_set("term").alias("_terms")))
-    found = narrow_join(found, terms, ["_key"], "left")
+    found = _with_terms(found.withColumn("_reach", _reach("base")), disclosed)
     found = _located(found, "_words", r"\p{L}+", F.col("_terms").isNotNull(), KINDS.index(TERM))
-    revealing = F.filter(
-        "_words",
-        lambda w: F.array_contains(F.col("_terms"), F.lower(w["value"]))
-        & ~F.exists("base", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
-    )
+
+    def free(w: Column) -> Column:
+        """Whether no base span overlaps: of those that start before its end, none ends behind its start."""
+        n = _leading("base", lambda s: s["start"] < w["end"])
+        furthest = F.greatest(F.get("_reach", n - 1), F.get("base", n - 1)["end"])
+        return (n == 0) | (furthest <= w["start"])
+
+    def disclosing(w: Column) -> Column:
+        term = F.lower(w["value"])
+        return F.coalesce(F.get("_terms", _leading("_terms", lambda t: t < term)) == term, F.lit(False))
+
+    revealing = F.filter("_words", lambda w: F.when(disclosing(w), free(w)).otherwise(False))
     spans = F.when(F.col("_terms").isNotNull(), F.sort_array(F.concat("base", revealing))).otherwise(F.col("base"))
-    return found.withColumn("spans", spans).drop("_key", "_terms", "_words")
+    return found.withColumn("spans", spans).drop("_terms", "_words", "_reach")
 
 
 def _listed(spans: str) -> Column:
@@ -226,23 +294,24 @@ def sanitised(docs: DataFrame) -> DataFrame:
     found = with_all_spans(docs)
     span = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
 
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
-        over = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"])
-        return F.when(over, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(span(s))))
-
+    # A span that starts behind all ends before it begins a cut, which reaches to the greatest end before the next.
+    found = found.withColumn("_reach", _reach("spans"))
+    found = found.withColumn("_heads", F.filter(F.arrays_zip("spans", "_reach"), lambda s: s["spans"]["start"] >= s["_reach"]))
+    ends = F.concat(F.transform(F.slice("_heads", 2, F.greatest(F.size("_heads") - 1, F.lit(0))), lambda s: s["_reach"]), F.array(F.array_max(F.transform("spans", lambda s: s["end"]))))
+    cut = lambda h, end: F.struct(h["spans"]["start"].alias("start"), h["spans"]["kind"].alias("kind"), end.alias("end"))
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    found = found.withColumn("_cut", F.when(F.size("spans") > 0, F.aggregate("spans", empty, merge)).otherwise(empty))
+    found = found.withColumn("_cut", F.when(F.size("spans") > 0, F.zip_with("_heads", ends, cut)).otherwise(empty))
+    found = found.withColumn("_pieces", _pieces("text", F.size("spans") > 0))
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in PATTERNS], F.lit(""))
     first = F.array(F.lit(0).cast("bigint"))
     starts_at = F.concat(first, F.transform("_cut", lambda s: s["end"]))
     piece = F.zip_with(
         "_cut", F.slice(starts_at, F.lit(1), F.size("_cut")),
-        lambda s, at: F.concat(F.substr("text", (at + 1).cast("int"), (s["start"] - at).cast("int")), F.element_at(tags, s["kind"] + 1)),
+        lambda s, at: F.concat(_part("_pieces", at, s["start"]), F.element_at(tags, s["kind"] + 1)),
     )
-    tail = F.substr("text", (F.element_at(starts_at, -1) + 1).cast("int"))
-    text = F.when(F.size("_cut") > 0, F.concat(F.array_join(piece, ""), tail)).otherwise(F.col("_row.text"))
+    tail = _part("_pieces", F.element_at(starts_at, -1), F.length("text").cast("bigint"))
+    blank = F.col("_row").getField(fresh(docs, "_blank"))
+    text = F.when(F.size("_cut") > 0, F.concat(F.array_join(piece, ""), tail)).when(~blank, F.col("text"))
     found = found.withColumn("_new", text)
     return found.select(
         *[

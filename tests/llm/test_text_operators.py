@@ -372,6 +372,57 @@ def test_pii(spark, nasty, empty):
     assert spans[3] == "phone:4:18" and spans[5] == "phone:2:17"
 
 
+def test_pii_of_long_and_crossing_spans(spark):
+    """A text of a megabyte with 50,000 spans; spans, terms and cuts against plain code."""
+    from terrasift.llm import pii
+
+    rng = random.Random(4)
+    long = " ".join(f"word{rng.choice('abc')} Zorblatt u{i}@mail{i % 977}.example.com é\U0001F600 1.2.3.{i % 300}" for i in range(25_000))
+    crossing = "x 1.2.3.4.5@b.cd +1 234 567 890 4111 1111 1111 1111 Zorblatt " + "q" * 700 + " u1@mail1.example.com"
+    rows = [(1, long), (2, crossing), (3, None), (4, ""), (5, "Zorblattu1@mail1.example.com Zorblatt")]
+    rows += [(i, f"plain text number {i} of a clean kind") for i in range(10, 40)]
+    docs = spark.createDataFrame([(i, t, i) for i, t in rows], "doc_id long, text string, _blank long")
+    found = {r["doc_id"]: r for r in pii.with_all_spans(docs).select("_row.doc_id", "base", "spans").collect()}
+    clean = {r["doc_id"]: r for r in pii.sanitised(docs).collect()}
+    terms = {r["term"] for r in pii.disclosing_terms(pii.with_base_spans(docs).select("text", "base")).collect()}
+    for i, text in rows:
+        base, spans = found[i]["base"], found[i]["spans"]
+        assert [s for s in spans if s["kind"] != 4] == base and all(text[s["start"] : s["end"]] == s["value"] for s in spans)
+        assert all(s["value"].lower() in terms for s in spans if s["kind"] == 4)
+        want, at, k = "", 0, 0
+        while k < len(spans):
+            head, end = spans[k], spans[k]["end"]
+            while k < len(spans) and spans[k]["start"] < end:
+                end, k = max(end, spans[k]["end"]), k + 1
+            want += text[at : head["start"]] + ["<EMAIL>", "<IP>", "<CARD>", "<PHONE>", ""][head["kind"]]
+            at = end
+        assert clean[i]["text"] == (None if text is None else want + text[at:]) and clean[i]["_blank"] == i
+    assert len(found[1]["base"]) >= 25_000 and sanitised_columns(docs) == docs.columns
+
+
+def sanitised_columns(docs):
+    from terrasift.llm.pii import sanitised
+
+    return sanitised(docs).columns
+
+
+def test_disclosing_terms_at_every_size(spark, monkeypatch):
+    """A planted name is found in tables of 300, 3,000 and 30,000 texts, a word of five texts in none; also when the terms are joined by shuffle."""
+    from terrasift.llm import pii
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    for size in (300, 3000, 30_000):
+        rows = ["the and Ostrander with single@mail.example.com and the Common"] + [f"{word()} and the Common {word()} with" for _ in range(4)]
+        rows += [f"{word()} {word()} and the {word()} with" for _ in range(size)]
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+        for limit in (pii.BROADCAST_CHARS, 0):
+            monkeypatch.setattr(pii, "BROADCAST_CHARS", limit)
+            got = pii.find_pii(docs).where("n_term > 0").collect()
+            assert [(r["doc_id"], r["n_term"]) for r in got] == [(0, 1)]
+            assert f"term:{rows[0].index('Ostrander')}:" in got[0]["spans"]
+
+
 def test_disclosing_terms(spark):
     from terrasift.llm.pii import find_pii, sanitised
 
