@@ -48,8 +48,15 @@ MESSAGES = {
     "empty_properties": "{count} feature(s) have empty properties",
 }
 
-# Coordinate systems measured in degrees.
-GEOGRAPHIC_SRIDS = (4326, 4258, 4269, 4267, 4283)
+# EPSG numbers of reference systems measured in degrees.
+GEOGRAPHIC_SRIDS = (
+    4326, 4979, 4322,  # world
+    4201, 4209, 4210, 4148, 4222,  # Africa: Adindan, Arc 1950, Arc 1960, Hartebeesthoek 94, Cape
+    4258, 4230, 4277, 4171, 4275, 4289, 4312, 4313, 4314, 4124, 4619, 4284, 4178,  # Europe
+    4269, 4267, 4617, 4674, 4618,  # Americas
+    4490, 4610, 4214, 4612, 6668, 4301, 4737, 4240, 4755,  # Asia
+    4283, 7844, 4167, 4272,  # Australia, New Zealand
+)
 
 
 class DataQualityError(Exception):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrasift.operators.gate import DataQualityError, Rules, ValidationResult, validate
 from terrasift.plans.registry import MetadataResolutionError, Registry, resolve
 from terrasift.session import staged
-from terrasift.sources.readers import ExtractionError, UnsupportedFileTypeError, read_source
+from terrasift.sources.readers import ExtractionError, UnsupportedFileTypeError, csv_layout, file_kind, path_exists, read_source
 from terrasift.sources.writers import LoadError, LoadResult, load_spatial, load_table
 
 # Loader names and whether they store geometry.
@@ -45,9 +45,12 @@ def spatial_loader(loader_class: str) -> bool:
     return LOADER_CLASSES[loader_class]
 
 
-def _extract(spark: SparkSession, path: str, file_type: str) -> DataFrame:
+def _extract(spark: SparkSession, path: str, file_type: str) -> tuple[DataFrame, list[str] | None]:
+    """The frame, and for CSV landings the first header that names a column twice."""
     try:
-        return read_source(spark, path, file_type)
+        is_csv = file_kind(file_type) == "csv" and path_exists(spark, path)
+        layout = csv_layout(spark, path) if is_csv else None
+        return read_source(spark, path, file_type, layout=layout), layout.repeated if layout else None
     except (FileNotFoundError, UnsupportedFileTypeError, ExtractionError) as exc:
         raise IngestionError(f"Extraction failed for '{path}' as '{file_type}': {exc}") from exc
 
@@ -81,7 +84,7 @@ def ingest(
 ) -> LoadResult:
     """L2: extract and load without the gate."""
     spatial_loader(loader_class)
-    return load(_extract(spark, path, file_type), loader_class, schema, table, load_mode, chunk_size)
+    return load(_extract(spark, path, file_type)[0], loader_class, schema, table, load_mode, chunk_size)
 
 
 def gated_load(
@@ -90,14 +93,15 @@ def gated_load(
     rules: Rules | None = None,
     raise_on_invalid: bool = True,
     location: str | None = None,
+    header: list[str] | None = None,
 ) -> RunResult:
     """Validate, then load; an invalid frame is refused unless told otherwise.
 
     The frame is staged on shared storage between the two, so the source is
-    read once.
+    read once. ``header`` carries column names as the source spells them.
     """
     df = staged(df)
-    outcome = validate(df, rules)
+    outcome = validate(df, rules, header=header)
     if not outcome.is_valid and raise_on_invalid:
         raise DataQualityError(outcome.errors)
     done = load(
@@ -131,8 +135,8 @@ def run_dataset(
     """L1: resolve, extract, validate, load."""
     meta = resolve_one(registry, name).asDict()
     spatial_loader(meta["loader_class"])
-    df = _extract(spark, meta["path"], meta["file_type"])
-    return gated_load(df, meta, rules, raise_on_invalid)
+    df, repeated = _extract(spark, meta["path"], meta["file_type"])
+    return gated_load(df, meta, rules, raise_on_invalid, header=repeated)
 
 
 def run_all(

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,28 +35,80 @@ class ExtractionError(RuntimeError):
     """The file is there but cannot be read as what it claims to be."""
 
 
+@dataclass
+class CsvLayout:
+    """The headers of a CSV landing, each with the files that have it, and whether quotes hold line breaks."""
+
+    headers: list[tuple[list[str], list[str]]]
+    quoted_breaks: bool
+
+    @property
+    def repeated(self) -> list[str] | None:
+        """The first header that names a column twice."""
+        return next((names for names, _ in self.headers if len(set(names)) < len(names)), None)
+
+
+def _odd_quotes() -> Column:
+    return (F.length("value") - F.length(F.translate("value", '"', ""))) % 2 == 1
+
+
+def csv_layout(spark: SparkSession, path: str) -> CsvLayout:
+    """The first line of every file, in one pass over the text.
+
+    What reaches the driver is one row a header with its file names, which the
+    listing of the landing holds as well. Empty files have no header.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), _odd_quotes().alias("odd"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("place"),
+    )
+    files = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("odd"))
+    found = files.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"), F.bool_or("odd").alias("odd"))
+    rows = sorted(found.collect(), key=lambda r: r["files"])
+    headers = [(next(csv.reader([r["header"].removeprefix("\ufeff")]), []), r["files"]) for r in rows]
+    return CsvLayout(headers, any(r["odd"] for r in rows))
+
+
+def _csv_by_name(reader: DataFrameReader, path: str, layout: CsvLayout) -> DataFrame:
+    """Files of one header at a time, put together by column name; columns come in the order of the first header."""
+    if len(layout.headers) < 2:
+        return reader.csv(path)
+    first = layout.headers[0][0]
+    for names, files in layout.headers:
+        if sorted(names) != sorted(first) or len(set(names)) < len(names):
+            raise ExtractionError(f"CSV header {names} of '{files[0]}' does not have the columns {first}, each once")
+    # Listed names are percent-encoded, and readers take some characters for patterns.
+    literal = lambda f: re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f))
+    texts = [T.StructType([T.StructField(n, T.StringType()) for n in names]) for names, _ in layout.headers]
+    parts = [reader.schema(t).csv([literal(f) for f in files]) for t, (_, files) in zip(texts, layout.headers, strict=True)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _has_quoted_breaks(spark: SparkSession, path: str) -> bool:
     """Whether some line of the files opens a quote that it does not close."""
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).where(_odd_quotes()).isEmpty()
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool | None = None,
+    layout: CsvLayout | None = None,
 ) -> DataFrame:
     """Header row, missing-value tokens to NULL, types from the whole file or a given schema.
 
     Without a schema every column is read as text first, so one odd value
-    cannot change how the others are parsed. Files whose header differs from the
-    first one's are refused rather than read by position. Line breaks inside
+    cannot change how the others are parsed. Given their layout, files with the
+    same columns in another order are read by name. Without it, files whose header
+    differs from the first one's are refused rather than read by position; with
+    it, those that lack or add columns. Line breaks inside
     quotes are looked for unless ``multi_line`` says whether there are any; files
     that hold some are read by one task each.
     """
     if multi_line is None:
-        multi_line = _has_quoted_breaks(spark, path)
+        multi_line = layout.quoted_breaks if layout else _has_quoted_breaks(spark, path)
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    reader = reader.option("multiLine", multi_line).option("enforceSchema", False)
-    text = tokens_to_null(reader.csv(path))
+    # With a layout the headers have been compared, and a repeated name may be numbered by the reader.
+    reader = reader.option("multiLine", multi_line).option("enforceSchema", layout is not None)
+    text = tokens_to_null(_csv_by_name(reader, path, layout) if layout else reader.csv(path))
     if schema is None:
         return infer_types(text)
     return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema_of(schema).fields])
@@ -127,16 +184,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_source(
-    spark: SparkSession, path: str, file_type: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, file_type: str, schema: T.StructType | str | None = None,
+    layout: CsvLayout | None = None,
 ) -> DataFrame:
-    """Read a landing file by its declared type."""
+    """Read a landing file by its declared type; CSV files by the names in their own headers."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Source file not found: {path}")
     kind = file_kind(file_type)
     if path.lower().endswith(".xls"):
         raise ExtractionError(f"'{path}' is a legacy binary workbook; save it as .xlsx")
     try:
-        df = _READERS[kind](spark, path, schema)
+        if kind == "csv":
+            df = read_csv(spark, path, schema, layout=layout or csv_layout(spark, path))
+        else:
+            df = _READERS[kind](spark, path, schema)
         if not df.columns:
             raise ExtractionError(f"Failed to extract data from '{path}' as '{file_type}': no columns")
         return df

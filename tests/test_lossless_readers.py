@@ -36,6 +36,34 @@ def test_reordered_headers_are_refused(spark, tmp_path):
         read_csv(spark, str(tmp_path)).collect()
 
 
+def test_reordered_headers_are_read_by_name(spark, tmp_path):
+    from terrasift.sources.readers import ExtractionError, csv_layout, read_source
+
+    (tmp_path / "1 [a].csv").write_text('id,"am,ount"\n1,10\n')
+    (tmp_path / "2.csv").write_text('"am,ount",id\n20,2\n"3\n0",3\n')
+    (tmp_path / "3.csv").write_text('id,"am,ount"\n')
+    (tmp_path / "4.csv").write_text("")
+    layout = csv_layout(spark, str(tmp_path))
+    assert sorted(names for names, _ in layout.headers) == [["am,ount", "id"], ["id", "am,ount"]]
+    assert layout.quoted_breaks and layout.repeated is None
+    df = read_source(spark, str(tmp_path), "csv")
+    assert sorted((r["id"], r["am,ount"]) for r in df.collect()) == [(1, "10"), (2, "20"), (3, "3\n0")]
+    (tmp_path / "5.csv").write_text("id,other\n1,2\n")
+    with pytest.raises(ExtractionError, match="does not have the columns"):
+        read_source(spark, str(tmp_path), "csv")
+
+
+def test_repeated_header_in_any_file_reaches_the_gate(spark, tmp_path):
+    from terrasift.operators.gate import DataQualityError
+    from terrasift.plans.ingest import _extract, gated_load
+
+    (tmp_path / "1.csv").write_text("id,amount,id\n1,10,1\n")
+    df, header = _extract(spark, str(tmp_path), "csv")
+    assert header == ["id", "amount", "id"] and df.count() == 1
+    with pytest.raises(DataQualityError, match=r"Duplicate column names create ambiguity: \['id'\]"):
+        gated_load(df, {}, header=header)
+
+
 def test_cells_keep_long_integers(spark):
     from terrasift.sources.cells import cell, type_cells
 

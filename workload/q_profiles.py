@@ -145,6 +145,12 @@ def _(t):
     return findings(shapes(t), None, "geometry", "some_outside", "all_outside")
 
 
+@query("v14_outside_world_of_another_system", _COL["some_outside"])
+def _(t):
+    adindan = F.when(F.col("geometry").isNotNull(), F.col("geometry").withField("srid", F.lit(4201)))
+    return findings(shapes(t).withColumn("geometry", adindan), None, "geometry", "some_outside", "all_outside")
+
+
 @query("v15_duplicate_features", _DUP)
 def _(t):
     return findings(shapes(t), None, "geometry", "duplicate_features")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrasift.functions import geometry as G
 from terrasift.operators import catalog as C
-from terrasift.operators.gate import gate_report
+from terrasift.operators.gate import gate_report, validate
 from terrasift.plans import ingest as L
 from terrasift.plans import models as M
 from terrasift.plans import registry as R
@@ -65,6 +65,31 @@ def _(t):
     return readers.read_csv(t.spark, write_csv(landing(t), scratch_dir(t.spark)))
 
 
+def _two_headers(t) -> str:
+    """Landing files of which every other one has its columns in reverse order."""
+    folder = scratch_dir(t.spark)
+    rows, odd = landing(t), F.pmod(F.hash(*landing(t).columns), F.lit(2)) == 1
+    write_csv(rows.where(odd), f"{folder}/in_order")
+    write_csv(rows.where(~odd).select(*reversed(rows.columns)), f"{folder}/reversed")
+    return f"{folder}/*"
+
+
+@query("s01_csv_reordered_headers", _LANDING)
+def _(t):
+    return readers.read_source(t.spark, _two_headers(t), "csv")
+
+
+@query("v04_repeated_header", "select 'Duplicate column names create ambiguity: [''c_custkey'']' as message, count(*) as checked_rows from customer")
+def _(t):
+    path = scratch_dir(t.spark)
+    text = landing(t).select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("c_custkey", "balance", "c_custkey")]).alias("value"))
+    # The writer makes no such header itself, so it is given as the text column's name.
+    text.withColumnRenamed("value", "c_custkey,balance,c_custkey").write.options(header=True, quote="", sep="\x01").csv(path)
+    layout = readers.csv_layout(t.spark, path)
+    outcome = validate(readers.read_source(t.spark, path, "csv", layout=layout), header=layout.repeated)
+    return t.spark.createDataFrame([(e, outcome.checked_rows) for e in outcome.errors], "message string, checked_rows long")
+
+
 @query("s01_csv_scan_with_schema", "select c_custkey, case when c_custkey % 7 = 0 then null else c_acctbal end as balance from customer")
 def _(t):
     return readers.read_csv(t.spark, write_csv(landing(t), scratch_dir(t.spark)), "c_custkey bigint, balance double")
