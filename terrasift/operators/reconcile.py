@@ -288,19 +288,40 @@ def match_risk(a: DataFrame, b: DataFrame, keys: Sequence[str], by: str) -> Data
     )
 
 
-def unmatched(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe_keys: bool = True) -> DataFrame:
-    """Rows of ``a`` whose keys do not occur in ``b``.
+def unmatched_sides(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe_keys: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of each side whose keys do not occur on the other.
 
     With ``null_safe_keys`` a NULL key part matches another NULL (N12);
-    without, a row with a NULL key is unmatched.
+    without, a row with a NULL key is unmatched. The keys of both sides go
+    through one grouping that flags the side; it is written once, and each side
+    is joined with the keys that only it has.
     """
-    parts = [F.col(k).cast("string") for k in keys]
-    # Keys are compared as one text that keeps NULL apart from any value.
-    key = F.to_json(F.array(*parts))
-    if not null_safe_keys:
-        key = F.when(reduce(lambda x, y: x & y, [p.isNotNull() for p in parts]), key)
-    known = b.select(key.alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    return lookup_join(a.withColumn("_key", key), known, "_key", "left_anti").drop("_key")
+
+    def keyed(df: DataFrame, side: int) -> DataFrame:
+        parts = [F.col(k).cast("string") for k in keys]
+        # Keys are compared as one text that keeps NULL apart from any value.
+        key = F.to_json(F.array(*parts))
+        if not null_safe_keys:
+            # No array is written like this, so keys with a NULL stay on their side.
+            key = F.when(reduce(lambda x, y: x & y, [p.isNotNull() for p in parts]), key).otherwise(F.lit(f"side {side}"))
+        return df.withColumn("_key", key)
+
+    sides = [keyed(a, 0), keyed(b, 1)]
+    tagged = [df.select("_key", F.lit(i).alias("side")) for i, df in enumerate(sides)]
+    flags = tagged[0].unionByName(tagged[1]).groupBy("_key").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+    alone = staged(flags.where(F.col("lo") == F.col("hi")).select("_key", "lo"))
+    found = [
+        lookup_join(df, alone.where(F.col("lo") == i).select("_key"), "_key", "left_semi").drop("_key")
+        for i, df in enumerate(sides)
+    ]
+    return found[0], found[1]
+
+
+def unmatched(a: DataFrame, b: DataFrame, keys: Sequence[str], null_safe_keys: bool = True) -> DataFrame:
+    """Rows of ``a`` whose keys do not occur in ``b``; see ``unmatched_sides``."""
+    return unmatched_sides(a, b, keys, null_safe_keys)[0]
 
 
 # --- X6-X8 -------------------------------------------------------------------

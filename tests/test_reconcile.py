@@ -54,6 +54,18 @@ def test_strategies_and_risk(sides):
     assert risk == drop[drop > 1].to_dict() and len(m)
 
 
+def test_unmatched_sides(spark):
+    a = spark.createDataFrame([(1, "x", "p"), (2, "x", None), (3, None, None), (4, "side 0", "q"), (5, "y", "p")], "row_id int, k string, l string")
+    b = spark.createDataFrame([(6, "x", "p"), (7, "x", None), (8, "side 0", None), (9, "x", "p")], "row_id int, k string, l string")
+
+    def ids(pair):
+        return [sorted(r["row_id"] for r in df.collect()) for df in pair]
+
+    assert ids(X.unmatched_sides(a, b, ["k", "l"])) == [[3, 4, 5], [8]]
+    assert ids(X.unmatched_sides(a, b, ["k", "l"], null_safe_keys=False)) == [[2, 3, 4, 5], [7, 8]]
+    assert ids(X.unmatched_sides(a, b.limit(0), ["k"])) == [[1, 2, 3, 4, 5], []]
+
+
 def test_unmatched(sides):
     a, b, pa, pb = sides
     known = {tuple(r) for r in pb[["name", "county"]].where(pb.notna(), None).values.tolist()}

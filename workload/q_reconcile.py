@@ -252,8 +252,8 @@ def _un(a, b):
 @query("x15_unmatched", f"{_un('a', 'b')} union all {_un('b', 'a')}")
 def _(t):
     a, b, keys = side_a(t), side_b(t), ["name_key", "state_key"]
-    one = X.unmatched(a, b, keys).select(F.lit("a").alias("side"), "row_id")
-    return one.unionByName(X.unmatched(b, a, keys).select(F.lit("b").alias("side"), "row_id"))
+    one, two = X.unmatched_sides(a, b, keys)
+    return one.select(F.lit("a").alias("side"), "row_id").unionByName(two.select(F.lit("b").alias("side"), "row_id"))
 
 
 @query("j09_unmatched_first_side", "select row_id from side_a x where not exists (select 1 from side_b y where x.name_key = y.name_key and x.county_key = y.county_key)")
