@@ -42,13 +42,15 @@ FREQUENT_MAX = 1 << 19
 FREQUENT_LEAST = 6
 # Distinct n-grams that lossy counting keeps in a task's memory.
 _COUNTERS = 1 << 22
+# N-grams that wait to be counted at once.
+_WAITING = 1 << 19
 
 
 class _WordHashes(dict):
     """Hashes of words seen so far, emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -90,34 +92,47 @@ class _Counter:
     """Lossy counting: the n-grams seen most, within a fixed number of counters."""
 
     def __init__(self):
-        self.seen, self.counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self.seen, self.counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32)
         self.waiting: list[np.ndarray] = []
         self.size = 0
 
     def add(self, sets: list[np.ndarray]) -> None:
-        self.waiting += sets
-        self.size += sum(map(len, sets))
-        if self.size > _COUNTERS // 2:
-            self._merge()
-            if len(self.seen) > _COUNTERS // 2:
-                self._keep(self.counts > 1)
-            if len(self.seen) > _COUNTERS // 2:
-                self._keep(np.sort(np.argpartition(self.counts, -_COUNTERS // 4)[-_COUNTERS // 4 :]))
+        for s in sets:
+            self.waiting.append(s)
+            self.size += len(s)
+            if self.size > _WAITING:
+                self._merge()
+        if len(self.seen) > _COUNTERS * 3 // 4:
+            self._keep(self.counts > 1)
+        if len(self.seen) > _COUNTERS // 2:
+            self._keep(np.sort(np.argpartition(self.counts, -_COUNTERS // 4)[-_COUNTERS // 4 :]))
 
     def _keep(self, which) -> None:
         self.seen, self.counts = self.seen[which], self.counts[which]
 
     def _merge(self) -> None:
-        both = np.concatenate([self.seen, *self.waiting])
-        weight = np.concatenate([self.counts, np.ones(len(both) - len(self.seen), dtype=np.int64)])
-        self.seen, at = np.unique(both, return_inverse=True)
-        self.counts = np.bincount(at, weights=weight).astype(np.int64)
+        """Add what waits to the counters: a short sorted run into the long one, with no array beside them that is as long as all counters but the new ones."""
+        if not self.size:
+            self.waiting = []
+            return
+        run = np.concatenate(self.waiting)
         self.waiting, self.size = [], 0
+        run.sort()
+        starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        n = np.diff(starts, append=len(run)).astype(np.int32)
+        run = run[starts]
+        at = np.searchsorted(self.seen, run)
+        known = np.zeros(len(run), dtype=bool)
+        inside = at < len(self.seen)
+        known[inside] = self.seen[at[inside]] == run[inside]
+        self.counts[at[known]] += n[known]
+        self.counts = np.insert(self.counts, at[~known], n[~known])
+        self.seen = np.insert(self.seen, at[~known], run[~known])
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
         self._merge()
         self._keep(self.counts > 1)
-        return self.seen, self.counts
+        return self.seen, self.counts.astype(np.int64)
 
 
 def _described(df: DataFrame, size: int) -> DataFrame:

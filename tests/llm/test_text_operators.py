@@ -86,6 +86,31 @@ def test_ngram_components_with_split_buckets(spark, monkeypatch):
     assert got == brute_components(texts, 4, 85)
 
 
+def test_ngram_counter_counts_and_keeps_the_frequent(monkeypatch):
+    """Exact while its counters suffice; beyond, what is seen all the time stays."""
+    from terrasift.llm import ngram_join
+
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(ngram_join, "_WAITING", 50)
+    draws = [np.unique(rng.integers(0, 400, rng.integers(0, 30)).astype(np.uint64)) for _ in range(200)]
+    counter = ngram_join._Counter()
+    for at in range(0, len(draws), 7):
+        counter.add(draws[at : at + 7])
+    seen, counts = counter.result()
+    want = collections.Counter(x for d in draws for x in d.tolist())
+    assert dict(zip(seen.tolist(), counts.tolist(), strict=True)) == {x: n for x, n in want.items() if n > 1}
+    assert (np.diff(seen.astype(np.int64)) > 0).all()
+
+    monkeypatch.setattr(ngram_join, "_COUNTERS", 256)
+    counter, often = ngram_join._Counter(), np.arange(20, dtype=np.uint64)
+    for k in range(300):
+        counter.add([np.concatenate([often, np.arange(1000 + 40 * k, 1040 + 40 * k, dtype=np.uint64)])])
+        assert len(counter.seen) <= 192
+    seen, counts = counter.result()
+    assert dict(zip(seen.tolist(), counts.tolist(), strict=True)) == dict.fromkeys(range(20), 300)
+    assert [len(x) for x in ngram_join._Counter().result()] == [0, 0]
+
+
 def test_ngram_edge_cases(nasty, empty):
     from terrasift.llm.ngram_join import ngram_components
 
