@@ -87,23 +87,27 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.concat_tables(held)
 
 
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether of the distinct pairs (lo, hi) every hi stands below one lo only, and no lo below another."""
+    ends = F.explode(F.array(*[F.struct(F.col(c).alias("node"), F.lit(below).alias("below")) for c, below in (("lo", 0), ("hi", 1))])).alias("end")
+    seen = pairs.select(ends).groupBy("end.node").agg(F.sum("end.below").alias("n"), F.min("end.below").alias("least"))
+    return seen.where("n > 1 or (n = 1 and least = 0)").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge.
 
     Nodes hang themselves under ever smaller neighbours (large star, then small
     star), so the number of rounds grows with the logarithm of the longest path.
     A hub's edges are never gathered: its minimum is an aggregate, and the join
-    that hands it out can be split. Each round is written to shared storage.
+    that hands it out can be split. Each round is written to shared storage, and
+    there is none once all nodes hang right below the least of their component.
     """
     pairs = saved(
         edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     )
 
-    def print_of(frame):
-        return tuple(frame.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi")), F.bit_xor(F.xxhash64("hi", "lo"))).first())
-
-    before = print_of(pairs)
-    while True:
+    while not _are_stars(pairs):
         both = pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(
             pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
         )
@@ -120,10 +124,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct()
         )
         pairs = saved(small)
-        now = print_of(pairs)
-        if now == before:
-            break
-        before = now
     return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         pairs.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     )

@@ -278,31 +278,30 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     Large components of a bucket have blocks of their own, which are not compared
     with one another.
     """
-    counts = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    # Each step is written once: as one plan, every use of a step would compute all before it again.
+    counts = saved(members.groupBy("bucket", "comp").agg(F.count("*").alias("n")))
     large = F.col("n") > BLOCK // 2
     small = counts.where(~large).groupBy("bucket").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    placed = (
+    placed = saved(
         members.join(counts, ["bucket", "comp"])
         .join(small, "bucket", "left")
         .withColumn("own", F.when(large, F.col("comp")))
         .withColumn(
-            "block",
+            "at",
             F.when(large, F.xxhash64(F.lit("own"), "comp", F.pmod(F.xxhash64("cls"), F.ceil(F.col("n") / BLOCK)))).otherwise(
                 F.xxhash64(F.lit("pool"), F.pmod(F.xxhash64("comp"), "blocks"))
             ),
         )
-        .select("bucket", "block", "own", "cls", "comp")
+        .select("bucket", "at", "own", "cls", "comp")
     )
-    blocks = placed.select("bucket", "block", "own").distinct()
+    blocks = saved(placed.select("bucket", F.col("at").alias("block"), "own").distinct())
     other = blocks.select("bucket", F.col("block").alias("block2"), F.col("own").alias("own2"))
-    pairs = (
-        blocks.join(other, "bucket")
-        .where("block <= block2 and (own is null or own2 is null or own <> own2)")
-        .select("bucket", "block", "block2")
-    )
-    first = placed.join(pairs, ["bucket", "block"]).select("bucket", "block", "block2", "cls", "comp", F.when(F.col("block") == F.col("block2"), 0).otherwise(1).alias("side"))
-    second = placed.select("bucket", F.col("block").alias("block2"), "cls", "comp").join(pairs.where("block <> block2"), ["bucket", "block2"])
-    return first.union(second.select("bucket", "block", "block2", "cls", "comp", F.lit(2).alias("side")))
+    pairs = blocks.join(other, "bucket").where("block <= block2 and (own is null or own2 is null or own <> own2)")
+    # A block meets itself on side 0, another one as sides 1 and 2.
+    within, first, second = (F.struct(F.col(at).alias("at"), F.lit(side).alias("side")) for at, side in (("block", 0), ("block", 1), ("block2", 2)))
+    ends = F.explode(F.when(F.col("block") == F.col("block2"), F.array(within)).otherwise(F.array(first, second))).alias("end")
+    sides = pairs.select("bucket", "block", "block2", ends).select("bucket", "block", "block2", "end.at", "end.side")
+    return placed.join(sides, ["bucket", "at"]).select("bucket", "block", "block2", "cls", "comp", "side")
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -382,14 +381,15 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     # Round 2: one class for each component of a bucket.
     mixed = saved(several(known_components()))
     if not mixed.isEmpty():
-        hubs = mixed.groupBy("bucket", "comp").agg(F.min("cls").alias("cls"))
-        hubs = _blocked(_one_of_equal_lists(hubs, "cls"))
+        hubs = saved(mixed.groupBy("bucket", "comp").agg(F.min("cls").alias("cls")))
+        hubs = _blocked(saved(_one_of_equal_lists(hubs, "cls")))
         comps = joined(_tree_links(hubs.join(sets, "cls").withColumn("side", F.lit(0)), ["bucket", "block"], percent))
 
         # Round 3: every pair of different components that share a bucket.
         left = _pruned(saved(several(known_components())), bits, percent)
-        pairs = _block_pairs(left)
-        comps = joined(_tree_links(pairs.join(sets, "cls"), ["bucket", "block", "block2"], percent))
+        if not left.isEmpty():
+            pairs = _block_pairs(left)
+            comps = joined(_tree_links(pairs.join(sets, "cls"), ["bucket", "block", "block2"], percent))
 
     # Components of classes become those of documents.
     of_class = classes.join(comps.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))

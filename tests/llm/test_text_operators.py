@@ -86,6 +86,50 @@ def test_ngram_components_with_split_buckets(spark, monkeypatch):
     assert got == brute_components(texts, 4, 85)
 
 
+def test_blocks_of_a_bucket_meet_by_a_short_plan(spark, monkeypatch):
+    from terrasift.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = random.Random(4)
+    rows = [(bucket, cls, cls % 2 if cls < 12 else cls) for bucket in range(3) for cls in rng.sample(range(30), 22)]
+    rows += [(3, 1, 1), (3, 2, 1), (4, 7, 7)]
+    met = ngram_join._block_pairs(spark.createDataFrame(rows, "bucket long, cls long, comp long"))
+    tasks = collections.defaultdict(list)
+    for r in met.collect():
+        tasks[r["bucket"], r["block"], r["block2"]].append((r["cls"], r["comp"], r["side"]))
+    found = set()
+    for (bucket, block, block2), held in tasks.items():
+        assert len(held) == len(set(held)) and {s for _, _, s in held} <= ({0} if block == block2 else {1, 2})
+        found |= {(bucket, a, b) for a, c, s in held for b, d, t in held if a < b and c != d and (s == t == 0 or s != t)}
+    assert found == {(x, a, b) for x, a, c in rows for y, b, d in rows if x == y and a < b and c != d}
+    # What it has written is read, not computed again for each use.
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 4
+
+
+def test_components_take_no_round_when_all_are_stars(spark, monkeypatch):
+    from terrasift.llm import common
+
+    written = []
+    write = common.saved
+    monkeypatch.setattr(common, "saved", lambda df: written.append(df) or write(df))
+
+    def found(edges):
+        written.clear()
+        return {(r["node"], r["component"]) for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+
+    assert found([(1, 5), (7, 1), (2, 3), (2, 3), (4, 4), (None, 9)]) == {(1, 1), (5, 1), (7, 1), (2, 2), (3, 2)}
+    assert len(written) == 1
+    assert found([]) == set() and len(written) == 1
+    assert found([(1, 2), (2, 3)]) == {(1, 1), (2, 1), (3, 1)} and len(written) == 2
+    rng = random.Random(9)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)]
+    up = {x: x for e in edges for x in e}
+    for _ in up:
+        for a, b in edges:
+            up[a] = up[b] = min(up[a], up[b])
+    assert found(edges) == {(x, up[x]) for a, b in edges if a != b for x in (a, b)}
+
+
 def test_ngram_counter_counts_and_keeps_the_frequent(monkeypatch):
     """Exact while its counters suffice; beyond, what is seen all the time stays."""
     from terrasift.llm import ngram_join
